@@ -3,6 +3,7 @@ row keys, Arrow slicing and vectorised word hashing."""
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -32,10 +33,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to a shared table and read it back."""
+    """Cut the lineage: write ``df`` to a shared table and read it back.
+
+    Spark deletes a finished plan's shuffle files once the driver has collected
+    it as garbage, so that is asked for here: a step's files need not lie beside
+    the next step's.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

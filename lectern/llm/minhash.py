@@ -82,21 +82,32 @@ def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int
     def fits(x, y):
         return (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
 
+    def both_sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        x, y = (sets.groupBy("node").agg(F.first("values").alias(v), F.first("n").alias(f"n{v}")).withColumnRenamed("node", c) for c, v in (("a", "x"), ("b", "y")))
+        return pairs.join(x, "a").join(y, "b").where(fits(F.col("nx"), F.col("ny")))
+
+    def in_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(nodes) if nodes.count() <= most_broadcast else nodes, "node", "left_semi")
+
+    def nodes_of(pairs: DataFrame) -> DataFrame:
+        return materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of"))
-        wanted = materialize(wanted.select("node", F.col("of.doc_id").alias("d"), F.col("of.key").alias("t")), "wanted")
-        few = wanted.count() <= most_broadcast
-        texts = docs.join(F.broadcast(wanted) if few else wanted, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["key"] == F.col("t")), "left_semi")
-        sets = materialize(_sets(texts, None).select("node", "values").dropDuplicates(["node"]), "sets")
-        x, y = (sets.select(F.col("node").alias(c), F.col("values").alias(v)) for c, v in (("a", "x"), ("b", "y")))
-        both = pairs.join(x, "a").where(F.size("x") > 0).join(y, "b")
-        both = both.where(fits(F.size("x").cast("long"), F.size("y").cast("long")))
-        union = F.slice(F.sort_array(F.array_union(F.slice("x", 1, k), F.slice("y", 1, k))), 1, k)
-        estimate = F.size(F.array_intersect(F.array_intersect(union, F.slice("x", 1, k)), F.slice("y", 1, k))) / F.size(union)
-        both = both.where(estimate >= percent / 100 - 0.3)
+        # by the union of the sketches, which for sets within k are the sets
+        sketched = in_nodes(table.where("n > 0").select("node", "values", "n"), nodes_of(pairs))
+        union = F.slice(F.sort_array(F.array_union("x", "y")), 1, k)
+        estimate = F.size(F.array_intersect(F.array_intersect(union, "x"), "y")) / F.size(union)
+        exact = F.greatest("nx", "ny") <= k
+        likely = materialize(both_sides(pairs, sketched).where(estimate >= F.when(exact, percent / 100).otherwise(percent / 100 - 0.25)).select("a", "b"), "likely")
+        # by the full sets
+        owners = in_nodes(members, nodes_of(likely)).groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of"))
+        owners = materialize(owners.select(F.col("of.doc_id").alias("d"), F.col("of.key").alias("t")), "owners")
+        if owners.count() <= most_broadcast:
+            owners = F.broadcast(owners)
+        texts = docs.join(owners, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["key"] == F.col("t")), "left_semi")
+        sets = materialize(_sets(texts, None).select("node", "values", "n"), "sets")
         common = F.size(F.array_intersect("x", "y"))
-        return both.where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
+        return both_sides(likely, sets).where(100 * common >= percent * (F.col("nx") + F.col("ny") - common)).select("a", "b")
 
     linked = connect(lists, fits, verify)
     classes = members.join(linked, "node", "left").select("doc_id", "sig", F.coalesce(F.col("component").cast("string"), F.hex("sig")).alias("group"))
