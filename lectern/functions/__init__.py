@@ -1 +1 @@
-"""Part of lectern."""
+"""Column functions."""
