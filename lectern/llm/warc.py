@@ -84,9 +84,9 @@ def _leaves(records: DataFrame) -> DataFrame:
 
 
 def _parents(level: DataFrame, segment: Column, place: Column) -> DataFrame:
-    """Digest of each range over its ordered children."""
+    """Digest of each range over its ordered children, as a table: plans of many levels would outgrow the driver."""
     children = F.array_sort(F.collect_list(F.struct("segment", "place", "digest")))
-    return level.groupBy(segment.alias("segment"), place.alias("place")).agg(F.sha2(F.to_json(children), 256).alias("digest"))
+    return materialize(level.groupBy(segment.alias("segment"), place.alias("place")).agg(F.sha2(F.to_json(children), 256).alias("digest")), "ranges")
 
 
 def tree(records: DataFrame, offset_bits: int, segment_bits: int) -> list[tuple[str, DataFrame]]:
@@ -94,7 +94,7 @@ def tree(records: DataFrame, offset_bits: int, segment_bits: int) -> list[tuple[
 
     ``records``: segment, offset, length, digest, with numbers of at most so many bits.
     """
-    level = _leaves(records).withColumnRenamed("offset", "place")
+    level = materialize(_leaves(records).withColumnRenamed("offset", "place"), "leaves")
     levels, shift = [("record", level)], RANGE_BITS
     level = _parents(level, F.col("segment"), F.shiftright("place", RANGE_BITS))
     levels.append(("range", level))
@@ -131,7 +131,7 @@ def audit(left: DataFrame, right: DataFrame) -> DataFrame:
 
             a, b = within(a), within(b)
         both = a.withColumnRenamed("digest", "a").join(b.withColumnRenamed("digest", "b"), ["segment", "place"], "full")
-        suspects = both.where(~F.col("a").eqNullSafe(F.col("b")))
+        suspects = materialize(both.where(~F.col("a").eqNullSafe(F.col("b"))), "suspects")
     status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("corrupt")
     return suspects.select("segment", F.col("place").alias("offset"), status.alias("status"))
 
