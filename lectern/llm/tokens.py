@@ -15,6 +15,7 @@ import numpy as np
 
 #: Ends each document.
 END_ID = 2
+_WORD_AND_MARKS = re.compile(r"( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]+)")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -24,41 +25,75 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: White space that may not stand before the space at which a text is cut.
+_ASCII_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_OTHER_SPACE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+
+
 class PieceEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids; memory is bounded by ``cache_bytes``."""
+    """Encodes texts to little-endian unsigned 32-bit ids; memory is bounded by ``cache_bytes``.
+
+    New pieces are encoded many at a time, as lines of one text: a line feed
+    between two of them is an id of its own, at which the ids are cut again.
+    """
 
-    def __init__(self, path: str, cache_bytes: int = 24 << 20):
+    def __init__(self, path: str, cache_bytes: int = 256 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.known: dict[str, bytes] = {"": b""}
         self.held, self.limit = 0, cache_bytes
-
-    def _learn(self, pieces: list[str]) -> None:
-        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for i in range(0, len(pieces), 2048):
-            part = pieces[i : i + 2048]
-            for p, e in zip(part, batch(part, add_special_tokens=False), strict=True):
+        feed = self._ids("\n")
+        self.feed = int(feed[0]) if len(feed) == 1 else None
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.batch([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Letters before closing marks are pieces of their own to the pre-tokenizer too, and shared by more."""
+        ends = {p: m.groups() for p in pieces if (m := _WORD_AND_MARKS.fullmatch(p))}
+        self._encode_new(list((pieces - ends.keys()).union(*ends.values()).difference(self.known)))
+        for p, (word, marks) in ends.items():
+            self.known[p] = ids = self.known[word] + self.known[marks]
+            self.held += len(ids) + len(p) + 180
+
+    def _encode_new(self, pieces: list[str]) -> None:
+        lines, rest = [], []
+        for p in pieces:
+            (lines if self.feed is not None and len(p.split()) == 1 and not p[-1].isspace() and p.lstrip(" ") == p.strip() else rest).append(p)
+        for i in range(0, len(lines), 4096):
+            part = lines[i : i + 4096]
+            ids = self._ids("\n".join(part))
+            cuts = np.flatnonzero(ids == self.feed)
+            if len(cuts) != len(part) - 1:  # a line's own ids hold the feed
+                rest += part
+                continue
+            raw, bounds = ids.tobytes(), [-4, *(cuts * 4).tolist(), len(ids) * 4]
+            for k, p in enumerate(part):
+                self.known[p] = raw[bounds[k] + 4 : bounds[k + 1]]
+            self.held += len(raw) + sum(map(len, part)) + 180 * len(part)
+        for i in range(0, len(rest), 2048):
+            part = rest[i : i + 2048]
+            for p, e in zip(part, self.batch(part, add_special_tokens=False), strict=True):
                 self.known[p] = ids = np.array(e.ids, "<u4").tobytes()
-                self.held += 2 * len(p) + len(ids) + 150
+                self.held += 2 * len(p) + len(ids) + 180
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        if "\x00" in text:
-            return _CUT.split(text)
-        parts = text.replace(" ", "\x00 ").split("\x00")
-        if any(p[-1:].isspace() for p in parts[:-1]):  # a run of white space was cut
+        unsafe = "\x00" in text or any(c + " " in text for c in _ASCII_SPACE)
+        if unsafe or not text.isascii() and any(c + " " in text for c in _OTHER_SPACE):
             return _CUT.split(text)
-        return parts
+        return text.replace(" ", "\x00 ").split("\x00")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.pieces(t) for t in texts]
         if self.held > self.limit:
             self.known, self.held = {"": b""}, 0
-        missing = set().union(*split) - self.known.keys()
+        missing = set().union(*split).difference(self.known)
         if missing:
-            self._learn(list(missing))
+            self._learn(missing)
         get = self.known.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
