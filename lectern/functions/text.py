@@ -63,7 +63,7 @@ def author_names(x: Column | str) -> Column:
         given = F.when(a.contains(","), F.get(comma, F.lit(1))).otherwise(F.when(F.size(words) > 1, F.get(words, F.lit(0))).otherwise(""))
         return F.struct(given.alias("first"), F.when(a.contains(","), F.get(comma, F.lit(0))).otherwise(F.element_at(words, -1)).alias("last"))
 
-    parts = F.filter(F.transform(F.split(_text(x), r"\s+and\s+"), lambda a: F.trim(a)), lambda a: a != "")
+    parts = F.filter(F.transform(F.split(_text(x), r"\s+and(?=\s)"), lambda a: F.trim(a)), lambda a: a != "")
     return F.transform(parts, name)
 
 
