@@ -16,6 +16,7 @@ import numpy as np
 #: Ends each document.
 END_ID = 2
 _WORD_AND_MARKS = re.compile(r"( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]+)")
+_LINE = re.compile(r" ?\S+")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -37,7 +38,7 @@ class PieceEncoder:
     between two of them is an id of its own, at which the ids are cut again.
     """
 
-    def __init__(self, path: str, cache_bytes: int = 256 << 20):
+    def __init__(self, path: str, cache_bytes: int = 340 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -62,7 +63,7 @@ class PieceEncoder:
     def _encode_new(self, pieces: list[str]) -> None:
         lines, rest = [], []
         for p in pieces:
-            (lines if self.feed is not None and len(p.split()) == 1 and not p[-1].isspace() and p.lstrip(" ") == p.strip() else rest).append(p)
+            (lines if self.feed is not None and _LINE.fullmatch(p) else rest).append(p)
         for i in range(0, len(lines), 4096):
             part = lines[i : i + 4096]
             ids = self._ids("\n".join(part))
