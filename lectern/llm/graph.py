@@ -34,16 +34,14 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def connect(lists: DataFrame, fits: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """node, component from inverted lists (key, node, rank, size).
+def around_pivots(lists: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Hold every member of a list (key, node, rank, size) against two members of it.
 
-    First every member of a list is held against two of its members, the
-    smallest and the one of least rank (the most typical). ``verify`` keeps the
-    pairs (a, b) that are linked. Where a list still spans several components,
-    all its pairs across components are verified too: each member outside the
-    list's largest component against all members of other components. So no
-    linked pair of a list is left unconnected, while a list whose members are
-    one component costs two pairs a member. ``fits`` compares two sizes first.
+    These pivots are the smallest member and the one of least rank (the most
+    typical). ``verify`` keeps the pairs (a, b) that are linked. Returns the
+    pairs, the edges, the components (node, component), and the members (key,
+    node, size, component, main) of lists that still span several components,
+    with the largest of them.
     """
     pivots = lists.groupBy("key").agg(F.min_by("node", F.struct("rank", "node")).alias("typical"), F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
     pivots = pivots.select("key", F.explode(F.array("typical", "least")).alias("pivot"))
@@ -54,9 +52,42 @@ def connect(lists: DataFrame, fits: Callable[[Column, Column], Column], verify:
     named = materialize(named, "named")
     main = named.groupBy("key", "component").count().groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     split = materialize(named.join(main, "key").select("key", "node", "size", "component", "main"), "split")
+    return pairs, edges, first, split
+
+
+def connect(lists: DataFrame, fits: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """node, component from inverted lists (key, node, rank, size).
+
+    Where a list still spans several components after the pivots, all its pairs
+    across components are verified too: each member outside the list's largest
+    component against all members of other components. So no linked pair of a
+    list is left unconnected, while a list whose members are one component
+    costs two pairs a member. ``fits`` compares two sizes first.
+    """
+    pairs, edges, first, split = around_pivots(lists, verify)
     outer = split.where("component <> main").select("key", F.col("node").alias("x"), F.col("size").alias("x_size"), F.col("component").alias("x_component"))
     across = split.join(outer, "key").where((F.col("component") != F.col("x_component")) & ((F.col("component") == F.col("main")) | (F.col("node") < F.col("x"))) & fits(F.col("size"), F.col("x_size")))
     more = materialize(_pairs(across, "node", "x").join(pairs, ["a", "b"], "left_anti"), "pairs")
     if more.isEmpty():
         return first
     return components(edges.unionByName(verify(more)))
+
+
+def pairs_across(split: DataFrame, fits: Callable[[Column, Column], Column], block: int) -> DataFrame:
+    """list, a, b, a_component, b_component, a_block, b_block: the pairs across components of ``split``.
+
+    A pair that shares several lists belongs to the least of them, so it is
+    made in one list only. A list's members are dealt to blocks of about
+    ``block`` in total size, so (list, a_block, b_block) is a group of bounded
+    size that needs each member's data once, not once a pair.
+    """
+    short = F.xxhash64("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")  # lists that fall together only share a name
+    mine = split.select("node", short.alias("list")).groupBy("node").agg(F.array_sort(F.collect_set("list")).alias("lists"))
+    blocks = split.groupBy("key").agg(F.ceil(F.sum("size") / block).alias("blocks"))
+    rows = split.join(blocks, "key").withColumn("part", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("list", short)
+    rows = materialize(rows.join(mine, "node").select("list", "node", "size", "component", (F.col("component") != F.col("main")).alias("outer"), "part", "lists"), "rows")
+    x = rows.where("outer").select(*(F.col(c).alias(f"x_{c}") for c in rows.columns)).withColumnRenamed("x_list", "list")
+    least = F.get(F.array_intersect("lists", "x_lists"), F.lit(0))
+    fit = (F.col("component") != F.col("x_component")) & (~F.col("outer") | (F.col("node") < F.col("x_node"))) & fits(F.col("size"), F.col("x_size"))
+    both = rows.join(x, "list").where(fit).where(least == F.col("list"))
+    return both.select("list", F.col("node").alias("a"), F.col("x_node").alias("b"), F.col("component").alias("a_component"), F.col("x_component").alias("b_component"), F.col("part").alias("a_block"), F.col("x_part").alias("b_block"))

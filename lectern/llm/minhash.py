@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.common import SALTS, materialize, mix, text_buffer, text_key, text_slices, word_hashes
-from lectern.llm.graph import connect
+from lectern.llm.graph import around_pivots, components, pairs_across
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -62,8 +62,46 @@ def _sets(docs: DataFrame, k: int | None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "key", "text").mapInArrow(run, "doc_id long, key long, n long, sig binary, node long, values array<long>")
 
 
-def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int = 80, most_broadcast: int = 500_000) -> DataFrame:
-    """doc_id, key, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text)."""
+def _links(cell_sets: DataFrame, cell_pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b: links that join components within a cell (list, a_block, b_block), from its pairs and its nodes' sets."""
+
+    def run(sets: pa.Table, pairs: pa.Table) -> pa.Table:
+        column = sets.column("values").combine_chunks()
+        flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+        of = {node: flat[ends[i] : ends[i + 1]] for i, node in enumerate(sets.column("node").to_pylist())}
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while (up := root.get(c, c)) != c:
+                root[c] = c = root.get(up, up)
+            return c
+
+        found = []
+        for a, b, ca, cb in zip(*(pairs.column(c).to_pylist() for c in ("a", "b", "a_component", "b_component")), strict=True):
+            ca, cb = find(ca), find(cb)
+            if ca == cb:
+                continue
+            x, y = of[a], of[b]
+            if max(len(x), len(y)) > k:
+                union = np.union1d(x[:k], y[:k])[:k]
+                if np.count_nonzero(np.isin(union, x[:k]) & np.isin(union, y[:k])) < (percent / 100 - 0.25) * k:
+                    continue
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * common >= percent * (len(x) + len(y) - common):
+                root[ca] = cb
+                found.append((min(a, b), max(a, b)))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    cell = ["list", "a_block", "b_block"]
+    cell_sets = cell_sets.toDF(*(f"at_{c}" if c in cell else c for c in cell_sets.columns))
+    return cell_sets.groupBy(*(f"at_{c}" for c in cell)).cogroup(cell_pairs.groupBy(cell)).applyInArrow(run, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int = 80, most_broadcast: int = 500_000, block: int = 1 << 18) -> DataFrame:
+    """doc_id, key, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text).
+
+    ``block`` bounds the shingles of a block of a list's members, but for a text that has more.
+    """
     docs = docs.select("doc_id", text_key().alias("key"), "text")
     table = materialize(_sets(docs, k), "sketches")
     members = table.where("n > 0").select("doc_id", "key", "n", "sig", "node")
@@ -92,6 +130,14 @@ def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int
     def nodes_of(pairs: DataFrame) -> DataFrame:
         return materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
 
+    def full_sets(nodes: DataFrame) -> DataFrame:
+        owners = in_nodes(members, nodes).groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of"))
+        owners = materialize(owners.select(F.col("of.doc_id").alias("d"), F.col("of.key").alias("t")), "owners")
+        if owners.count() <= most_broadcast:
+            owners = F.broadcast(owners)
+        texts = docs.join(owners, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["key"] == F.col("t")), "left_semi")
+        return materialize(_sets(texts, None).select("node", "values", "n"), "sets")
+
     def verify(pairs: DataFrame) -> DataFrame:
         # by the union of the sketches, which for sets within k are the sets
         sketched = in_nodes(table.where("n > 0").select("node", "values", "n"), nodes_of(pairs))
@@ -100,16 +146,17 @@ def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int
         exact = F.greatest("nx", "ny") <= k
         likely = materialize(both_sides(pairs, sketched).where(estimate >= F.when(exact, percent / 100).otherwise(percent / 100 - 0.25)).select("a", "b"), "likely")
         # by the full sets
-        owners = in_nodes(members, nodes_of(likely)).groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("of"))
-        owners = materialize(owners.select(F.col("of.doc_id").alias("d"), F.col("of.key").alias("t")), "owners")
-        if owners.count() <= most_broadcast:
-            owners = F.broadcast(owners)
-        texts = docs.join(owners, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["key"] == F.col("t")), "left_semi")
-        sets = materialize(_sets(texts, None).select("node", "values", "n"), "sets")
         common = F.size(F.array_intersect("x", "y"))
-        return both_sides(likely, sets).where(100 * common >= percent * (F.col("nx") + F.col("ny") - common)).select("a", "b")
-
-    linked = connect(lists, fits, verify)
+        return both_sides(likely, full_sets(nodes_of(likely))).where(100 * common >= percent * (F.col("nx") + F.col("ny") - common)).select("a", "b")
+
+    _, edges, linked, split = around_pivots(lists, verify)
+    across = materialize(pairs_across(split, fits, block), "across")
+    if not across.isEmpty():
+        cell = ["list", "a_block", "b_block"]
+        wanted = across.select(*cell, F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = full_sets(nodes_of(across)).dropDuplicates(["node"])
+        more = materialize(_links(wanted.join(sets, "node"), across, k, percent), "links")
+        linked = components(edges.unionByName(more))
     classes = members.join(linked, "node", "left").select("doc_id", "sig", F.coalesce(F.col("component").cast("string"), F.hex("sig")).alias("group"))
     smallest = classes.groupBy("sig", "group").agg(F.min("doc_id").alias("low"))
     lowest = smallest.groupBy("group").agg(F.min("low").alias("component_id"))

@@ -121,7 +121,7 @@ def test_substrings(docs, rows, none):
     assert substring.drop_repeats(none).count() == 0
 
 
-def test_near_duplicates(docs, rows, none):
+def check_near_duplicates(docs, rows, sketches, **more):
     def shingles(t):
         w = re.findall(SPACE, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
         return frozenset(ngrams(w, 2)) if len(w) > 1 else frozenset([tuple(w)] if w else [])
@@ -135,12 +135,34 @@ def test_near_duplicates(docs, rows, none):
                 group = [new if g == old else g for g in group]
     low = {g: min((d for (d, _), h in zip(sets, group) if h == g and d is not None), default=None) for g in group}
     want = [(str(d), len(s), str(low[g] if s else d), d == (low[g] if s else d)) for (d, s), g in zip(sets, group)]
-    for k, least in ((96, 52), (16, 8)):
-        got = minhash.near_duplicates(docs, k, least).collect()
+    for k, least in sketches:
+        got = minhash.near_duplicates(docs, k, least, **more).collect()
         assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["kept"]) for r in got) == sorted(want)
+    return len({g for g, (_, s) in zip(group, sets) if s})
+
+
+def test_near_duplicates(docs, rows, none):
+    check_near_duplicates(docs, rows, ((96, 52), (16, 8)))
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_away_from_pivots(spark):
+    """Copies of one text that are linked in chains and in small groups, in several blocks."""
+    r, rows = random.Random(8), []
+    base = [f"v{i}" for i in range(90)]
+    for i in range(60):
+        w = list(base)
+        for at in r.sample(range(90), i % 9):
+            w[at] = f"new{at}" if i % 2 else f"own{i}"
+        rows.append((i, " ".join(w)))
+    for i in range(8):  # linked to the copy before it, and to none of the others
+        w = rows[-1][1].split()
+        for at in r.sample(range(90), 4):
+            w[at] = f"chain{i}"
+        rows.append((60 + i, " ".join(w)))
+    assert check_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rows, ((96, 52),), block=1000) > 3
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(r.randint(200, 260), r.randint(200, 260)) for _ in range(50)]
