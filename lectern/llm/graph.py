@@ -34,18 +34,20 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def around_pivots(lists: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def around_pivots(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], least_lists: int = 1) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Hold every member of a list (key, node, rank, size) against two members of it.
 
     These pivots are the smallest member and the one of least rank (the most
-    typical). ``verify`` keeps the pairs (a, b) that are linked. Returns the
+    typical). A pair is tried if they meet so in ``least_lists`` lists or more.
+    ``verify`` keeps the pairs (a, b) that are linked. Returns the
     pairs, the edges, the components (node, component), and the members (key,
     node, size, component, main) of lists that still span several components,
     with the largest of them.
     """
     pivots = lists.groupBy("key").agg(F.min_by("node", F.struct("rank", "node")).alias("typical"), F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
     pivots = pivots.select("key", F.explode(F.array("typical", "least")).alias("pivot"))
-    pairs = materialize(_pairs(lists.join(pivots, "key"), "node", "pivot"), "pairs")
+    met = lists.join(pivots.distinct(), "key").where("node <> pivot").groupBy(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).agg(F.count("*").alias("met"))
+    pairs = materialize(met.where(F.col("met") >= least_lists).select("a", "b"), "pairs")
     edges = materialize(verify(pairs), "links")
     first = components(edges)
     named = lists.join(first, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
@@ -73,21 +75,23 @@ def connect(lists: DataFrame, fits: Callable[[Column, Column], Column], verify:
     return components(edges.unionByName(verify(more)))
 
 
-def pairs_across(split: DataFrame, fits: Callable[[Column, Column], Column], block: int) -> DataFrame:
-    """list, a, b, a_component, b_component, a_block, b_block: the pairs across components of ``split``.
+def pairs_across(split: DataFrame, fits: Callable[[Column, Column], Column], common: Callable[[Column], Column], block: int) -> DataFrame:
+    """list, a, b, a_component, b_component, a_block, b_block: the pairs across components of ``split``, each once.
 
-    A pair that shares several lists belongs to the least of them, so it is
-    made in one list only. A list's members are dealt to blocks of about
-    ``block`` in total size, so (list, a_block, b_block) is a group of bounded
-    size that needs each member's data once, not once a pair.
+    Linked texts of size x and y share as many lists as the smaller of
+    ``common`` of x and of y says; other pairs are left out. A pair belongs to
+    the least list it shares, so it is made in one list only. A list's members
+    are dealt to blocks of about ``block`` in total size, so (list, a_block,
+    b_block) is a group of bounded size that needs each member's data once, not
+    once a pair.
     """
-    short = F.xxhash64("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")  # lists that fall together only share a name
-    mine = split.select("node", short.alias("list")).groupBy("node").agg(F.array_sort(F.collect_set("list")).alias("lists"))
+    mine = split.groupBy("node").agg(F.array_sort(F.collect_set("key")).alias("lists"))
     blocks = split.groupBy("key").agg(F.ceil(F.sum("size") / block).alias("blocks"))
-    rows = split.join(blocks, "key").withColumn("part", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("list", short)
-    rows = materialize(rows.join(mine, "node").select("list", "node", "size", "component", (F.col("component") != F.col("main")).alias("outer"), "part", "lists"), "rows")
+    rows = split.join(blocks, "key").withColumn("part", F.pmod(F.xxhash64("node"), "blocks").cast("int")).join(mine, "node")
+    rows = materialize(rows.select(F.col("key").alias("list"), "node", "size", "component", (F.col("component") != F.col("main")).alias("outer"), "part", "lists"), "rows")
     x = rows.where("outer").select(*(F.col(c).alias(f"x_{c}") for c in rows.columns)).withColumnRenamed("x_list", "list")
-    least = F.get(F.array_intersect("lists", "x_lists"), F.lit(0))
+    shared = F.array_intersect("lists", "x_lists")
     fit = (F.col("component") != F.col("x_component")) & (~F.col("outer") | (F.col("node") < F.col("x_node"))) & fits(F.col("size"), F.col("x_size"))
-    both = rows.join(x, "list").where(fit).where(least == F.col("list"))
+    once = (F.get(shared, F.lit(0)) == F.col("list")) & (F.size(shared) >= F.least(common(F.col("size")), common(F.col("x_size"))))
+    both = rows.join(x, "list").where(fit).where(once)
     return both.select("list", F.col("node").alias("a"), F.col("x_node").alias("b"), F.col("component").alias("a_component"), F.col("x_component").alias("b_component"), F.col("part").alias("a_block"), F.col("x_part").alias("b_block"))

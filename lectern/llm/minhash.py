@@ -4,8 +4,8 @@ A text's set is its distinct two-word shingles, hashed to 64 bits; the sketch is
 its ``k`` smallest values. Inverted lists of retained values give candidates: if
 two sets are as similar as asked, their sketches overlap in ``least`` values or
 more (or, when no partner's set can exceed ``k``, in the exact share of the
-set), so they share one of each sketch's rarest ``k - least + 1``. Rarest first,
-a text whose rarest values nobody else retains is out at once, and frequent
+set), so they share ``common`` of each sketch's rarest ``k - least + common``. Rarest
+first, a text whose rarest values nobody else retains is out at once, and frequent
 values serve only texts that have no rarer ones. Candidates are estimated from
 the union of their sketches, then verified on the full sets. For sets within
 ``k`` this is exact; beyond, a pair at the limit is missed with a probability
@@ -97,10 +97,11 @@ def _links(cell_sets: DataFrame, cell_pairs: DataFrame, k: int, percent: int) ->
     return cell_sets.groupBy(*(f"at_{c}" for c in cell)).cogroup(cell_pairs.groupBy(cell)).applyInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int = 80, most_broadcast: int = 500_000, block: int = 1 << 18) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int = 80, most_broadcast: int = 500_000, block: int = 1 << 18, common: int = 8) -> DataFrame:
     """doc_id, key, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text).
 
     ``block`` bounds the shingles of a block of a list's members, but for a text that has more.
+    Pairs must share ``common`` inverted lists (or all that small sets need to share).
     """
     docs = docs.select("doc_id", text_key().alias("key"), "text")
     table = materialize(_sets(docs, k), "sketches")
@@ -110,8 +111,14 @@ def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int
     values = sketches.select("node", "n", F.explode("values").alias("value"))
     shared = values.groupBy("value").count().where("count > 1")
     own = values.join(shared, "value").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("shared"))
-    needed = F.ceil(F.col("n") * percent / 100).cast("int")
-    prefix = F.when(F.col("n") * 100 <= k * percent, F.col("n") - needed + 1).otherwise(F.least("n", F.lit(k)) - least + 1)
+
+    def needed(n):
+        return F.when(n * 100 <= k * percent, F.ceil(n * percent / 100).cast("int")).otherwise(least)
+
+    def least_common(n):
+        return F.least(needed(n), F.lit(common))
+
+    prefix = F.least("n", F.lit(k)) - needed(F.col("n")) + least_common(F.col("n"))
     unshared = F.least("n", F.lit(k)) - F.size("shared")
     own = own.withColumn("take", (prefix - unshared).cast("int")).where("take > 0")
     lists = own.select(F.explode(F.slice("shared.value", F.lit(1), F.col("take"))).alias("key"), "node", unshared.alias("rank"), F.col("n").alias("size"))
@@ -149,8 +156,8 @@ def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int
         common = F.size(F.array_intersect("x", "y"))
         return both_sides(likely, full_sets(nodes_of(likely))).where(100 * common >= percent * (F.col("nx") + F.col("ny") - common)).select("a", "b")
 
-    _, edges, linked, split = around_pivots(lists, verify)
-    across = materialize(pairs_across(split, fits, block), "across")
+    _, edges, linked, split = around_pivots(lists, verify, (common + 1) // 2)
+    across = materialize(pairs_across(split, fits, least_common, block), "across")
     if not across.isEmpty():
         cell = ["list", "a_block", "b_block"]
         wanted = across.select(*cell, F.explode(F.array("a", "b")).alias("node")).distinct()
