@@ -150,7 +150,7 @@ def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int
         sketched = in_nodes(table.where("n > 0").select("node", "values", "n"), nodes_of(pairs))
         union = F.slice(F.sort_array(F.array_union("x", "y")), 1, k)
         estimate = F.size(F.array_intersect(F.array_intersect(union, "x"), "y")) / F.size(union)
-        exact = F.greatest("nx", "ny") <= k
+        exact = (F.greatest("nx", "ny") <= k) & (F.size(F.array_union("x", "y")) <= k)
         likely = materialize(both_sides(pairs, sketched).where(estimate >= F.when(exact, percent / 100).otherwise(percent / 100 - 0.25)).select("a", "b"), "likely")
         # by the full sets
         common = F.size(F.array_intersect("x", "y"))
