@@ -160,6 +160,10 @@ def test_near_duplicates_away_from_pivots(spark):
         for at in r.sample(range(90), 4):
             w[at] = f"chain{i}"
         rows.append((60 + i, " ".join(w)))
+    for i in range(12):  # both sets fit a sketch, their union doesn't; 82 of 102 shingles in common
+        w = [f"p{i}x{j}" for j in range(93)]
+        v = [f"q{i}x{j}" if j % 18 == 9 else x for j, x in enumerate(w)]
+        rows += [(100 + 2 * i, " ".join(w)), (101 + 2 * i, " ".join(v))]
     assert check_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rows, ((96, 52),), block=1000) > 3
 
 
