@@ -57,16 +57,18 @@ def around_pivots(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], le
     return pairs, edges, first, split
 
 
-def connect(lists: DataFrame, fits: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def connect(lists: DataFrame, fits: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame], whole: Column | None = None) -> DataFrame:
     """node, component from inverted lists (key, node, rank, size).
 
     Where a list still spans several components after the pivots, all its pairs
     across components are verified too: each member outside the list's largest
     component against all members of other components. So no linked pair of a
     list is left unconnected, while a list whose members are one component
-    costs two pairs a member. ``fits`` compares two sizes first.
+    costs two pairs a member. ``fits`` compares two sizes first. ``whole`` says
+    for which lists this is done, if some hold the pairs of all others.
     """
     pairs, edges, first, split = around_pivots(lists, verify)
+    split = split if whole is None else split.where(whole)
     outer = split.where("component <> main").select("key", F.col("node").alias("x"), F.col("size").alias("x_size"), F.col("component").alias("x_component"))
     across = split.join(outer, "key").where((F.col("component") != F.col("x_component")) & ((F.col("component") == F.col("main")) | (F.col("node") < F.col("x"))) & fits(F.col("size"), F.col("x_size")))
     more = materialize(_pairs(across, "node", "x").join(pairs, ["a", "b"], "left_anti"), "pairs")

@@ -185,6 +185,63 @@ def test_lines(spark, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def kept_lines(texts, least_words, percent=80):
+    """The kept lines of each text, by edit similarity of all pairs of lines."""
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(before + (x != y), row[j] + 1, row[j - 1] + 1)
+        return row[-1]
+
+    at = [(d, i, tuple(re.findall(r"[^\W_]+", x.lower()))) for d, t in enumerate(texts) for i, x in enumerate(t.split("\n"))]
+    first = {}
+    for d, i, w in at:
+        first.setdefault(w, (d, i))
+    words = [w for w in first if len(w) >= least_words]
+    group = {w: w for w in words}
+    for i, a in enumerate(words):
+        for b in words[:i]:
+            most = (100 - percent) * max(len(a), len(b)) // 100
+            if abs(len(a) - len(b)) <= most and group[a] != group[b] and distance(a, b) <= most:
+                old, new = group[a], group[b]
+                group = {w: new if g == old else g for w, g in group.items()}
+    keep = {}
+    for w in words:
+        keep[group[w]] = min(keep.get(group[w], first[w]), first[w])
+    gone = {(d, i) for d, i, w in at if w in group and keep[group[w]] != (d, i)}
+    return ["\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in enumerate(texts)]
+
+
+def similar_lines():
+    """Lines of 4 to 60 words and copies with edits up to the limit and beyond, dealt to texts."""
+    r = random.Random(11)
+    lines = []
+    for n in [*range(4, 31), 45, 60] * 3:
+        w = [f"v{r.randrange(900)}" for _ in range(n)]
+        lines.append(" ".join(w))
+        for most in (n // 5, n // 5, n // 4 + 1):
+            v = list(w)
+            for _ in range(most):
+                k, at = r.randrange(3), r.randrange(len(v))
+                v[at : at + (k > 0)] = [f"n{r.randrange(9000)}"] * (k < 2)
+            lines.append(" ".join(v))
+    lines += ["a b a b a b a b a b", "a b a b a b a b", "one two three four five", "one two four five", "one two 3rd four five", "one two 3rd four 5th"]
+    r.shuffle(lines)
+    return ["\n".join(lines[i : i + 5]) for i in range(0, len(lines), 5)]
+
+
+def test_lines_against_all_pairs(spark):
+    texts = similar_lines()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["_text"] for r in line_dedup.dedup_lines(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == kept_lines(texts, 5)
+    got = {r["doc_id"]: r["_text"] for r in line_dedup.dedup_lines(docs, similarity=0.7).collect()}
+    assert [got[i] for i in range(len(texts))] == kept_lines(texts, 5, 70)
+
+
 def test_word_edit_distance(spark):
     row = spark.createDataFrame([("a b c d", "a x c d e")], "x string, y string")
     words = [line_dedup.word_codes(F.split(c, " ")) for c in ("x", "y")]
