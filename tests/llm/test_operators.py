@@ -242,6 +242,19 @@ def test_lines_against_all_pairs(spark):
     assert [got[i] for i in range(len(texts))] == kept_lines(texts, 5, 70)
 
 
+def test_query_and_stage_remove_short_lines(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = ["all rights reserved\n\none", "All rights reserved!\n\ntwo words here now", "two words here\n--\nOne.", "two words here now\nlast\n--"] + similar_lines()
+    want = kept_lines(texts, 1)
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["kept_sha256"] for r in line_dedup.op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert [got[i] for i in range(len(texts))] == [hashlib.sha256(t.encode()).hexdigest() for t in want]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {i: t for i, t in enumerate(want) if re.search(r"\w", t)}
+
+
 def test_word_edit_distance(spark):
     row = spark.createDataFrame([("a b c d", "a x c d e")], "x string, y string")
     words = [line_dedup.word_codes(F.split(c, " ")) for c in ("x", "y")]
