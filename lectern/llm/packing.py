@@ -4,7 +4,8 @@ Only the counts of each length reach the driver (at most ``capacity`` rows, at
 any size of the corpus). There, linear grouping rounds the large lengths up
 within groups of about equal cardinality, few-size configurations are chosen
 for the rounded lengths, actual lengths replace the rounded ones, and best fit
-places the small lengths in the gaps. The plan is a list of bin templates with
+places the small lengths in the gaps. Best fit alone is planned too, and taken if
+it needs fewer sequences. The plan is a list of bin templates with
 multiplicities; Spark ranks the pieces of each length and joins rank ranges to
 template slots. Ranks are counted in hashed buckets, so one frequent length
 never meets in one task.
@@ -69,26 +70,26 @@ def linear_groups(counts: dict[int, int], groups: int) -> list[tuple[int, list[i
 
 
 def configurations(counts: dict[int, int], capacity: int, most: int = 4) -> list[tuple[tuple[int, ...], int]]:
-    """Use up rounded lengths by configurations of at most ``most`` items, fullest first for the largest left."""
+    """Use up rounded lengths by configurations of at most ``most`` sizes, each any number of times, fullest first for the largest left."""
     left, out = dict(counts), []
     while left:
         size = max(left)
         left[size] -= 1
-        sizes = sorted((s for s, n in left.items() if n and s <= capacity - size), reverse=True)
+        runs = [(s, s * m) for s in sorted(left, reverse=True) for m in range(1, min(left[s], (capacity - size) // s) + 1)]
         left[size] += 1
         reach = [1]
         limit = (1 << (capacity - size + 1)) - 1
         for _ in range(most - 1):
             sums = 0
-            for s in sizes:
-                sums |= reach[-1] << s
+            for _, width in runs:
+                sums |= reach[-1] << width
             reach.append(sums & limit)
         total, k = max((r.bit_length() - 1, -k) for k, r in enumerate(reach) if r)
         config, k = [size], -k
         while k:
-            s = next(s for s in sizes if s <= total and reach[k - 1] >> (total - s) & 1)
-            config.append(s)
-            total, k = total - s, k - 1
+            s, width = next((s, width) for s, width in runs if width <= total and reach[k - 1] >> (total - width) & 1)
+            config += [s] * (width // s)
+            total, k = total - width, k - 1
         times = min(left[s] // n for s, n in Counter(config).items())
         while not times:  # a length was taken more often than it is there: fit what is there
             config.pop()
@@ -148,7 +149,9 @@ def plan_bins(counts: dict[int, int], capacity: int, small: int | None = None, g
             fuller = (*lengths, s)
             gaps[gap - s][fuller] = gaps[gap - s].get(fuller, 0) + used
             n -= used
-    return {lengths: n for g in gaps.values() for lengths, n in g.items()}
+    plan = {lengths: n for g in gaps.values() for lengths, n in g.items()}
+    plain = plan_bins(counts, capacity, capacity) if small < capacity else plan
+    return min(plan, plain, key=lambda p: sum(p.values()))
 
 
 def slot_ranges(templates: dict[tuple[int, ...], int]) -> list[tuple[int, int, int, int, int]]:

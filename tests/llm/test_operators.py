@@ -98,6 +98,22 @@ def test_plan_uses_every_piece():
         assert dict(used) == counts
 
 
+@pytest.mark.parametrize("counts", [{150: 6000}, {s: 100 for s in range(130, 251)}, {s: 1 + s * s % 59 for s in range(129, 256)}, {150: 5000} | {s: 1 + s % 20 for s in range(1, 1025) if s != 150}])
+def test_plan_needs_no_more_bins_than_best_fit(counts):
+    plan, bins, gaps = packing.plan_bins(counts, 1024), 0, defaultdict(int)
+    for s in sorted(counts, reverse=True):
+        for _ in range(counts[s]):
+            gap = min((g for g, n in gaps.items() if n and g >= s), default=1024)
+            bins, gaps[gap] = bins + (not gaps[gap]), max(gaps[gap] - 1, 0)
+            gaps[gap - s] += gap > s
+    used = defaultdict(int)
+    for lengths, n in plan.items():
+        assert sum(lengths) <= 1024
+        for s in lengths:
+            used[s] += n
+    assert dict(used) == counts and sum(plan.values()) <= bins
+
+
 def ngrams(words, n):
     return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
 
