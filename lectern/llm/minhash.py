@@ -1,6 +1,6 @@
 """MinHash near-duplicates from bottom-k sketches of one hash function.
 
-A text's set is its distinct two-word shingles, hashed to 64 bits; the sketch is
+A text's set is its distinct shingles of ``shingle`` words, hashed to 64 bits; the sketch is
 its ``k`` smallest values. Inverted lists of retained values give candidates: if
 two sets are as similar as asked, their sketches overlap in ``least`` values or
 more (or, when no partner's set can exceed ``k``, in the exact share of the
@@ -14,7 +14,7 @@ below 1e-8 (a binomial tail; fewer than ``least`` of ``k`` draws).
 Texts with one set are one class, and only classes are compared.
 
 Defined results: null texts and texts without words have an empty set and link
-with nothing; a text of one word is a set of that word; repeated rows are one
+with nothing; a text shorter than a shingle is a set of itself; repeated rows are one
 class; null doc_ids belong to classes, but never name a component unless all
 are null; empty tables give no rows; other columns are ignored.
 """
@@ -33,24 +33,31 @@ from lectern.llm.common import SALTS, materialize, mix, text_buffer, text_key, t
 from lectern.llm.graph import around_pivots, components, pairs_across
 
 
-def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+def shingle_sets(raw: np.ndarray, offsets: np.ndarray, shingle: int = 2) -> list[np.ndarray]:
     """The sorted hashed shingle set of each row of a text buffer."""
     h, _, _, bounds = word_hashes(raw, offsets, lower=True)
-    pair = mix(h[:-1] * SALTS[0] + h[1:] * SALTS[1]) if len(h) > 1 else h[:0]
+    count = max(len(h) - shingle + 1, 0)
+    runs = np.zeros(count, np.uint64)
+    for j in range(shingle):
+        runs += h[j : j + count] * SALTS[j]
+    runs = mix(runs)
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        s = mix(h[a:b] * SALTS[2]) if b - a < 2 else np.unique(pair[a : b - 1])
+        if a < b < a + shingle:
+            s = mix(np.sum(h[a:b] * SALTS[shingle : shingle + b - a], keepdims=True))
+        else:
+            s = np.unique(runs[a : max(a, b - shingle + 1)])
         out.append((s ^ np.uint64(1 << 63)).view(np.int64))  # unsigned order as signed order
     return out
 
 
-def _sets(docs: DataFrame, k: int | None) -> DataFrame:
+def _sets(docs: DataFrame, k: int | None, shingle: int) -> DataFrame:
     """doc_id, key, n, sig, node and the set (its ``k`` smallest values, if given)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in text_slices(batch):
-                sets = shingle_sets(*text_buffer(rows.column(2)))
+                sets = shingle_sets(*text_buffer(rows.column(2)), shingle)
                 sig = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 node = [int.from_bytes(x[:8], "little", signed=True) for x in sig]
                 kept = [s[:k] for s in sets]
@@ -97,14 +104,14 @@ def _links(cell_sets: DataFrame, cell_pairs: DataFrame, k: int, percent: int) ->
     return cell_sets.groupBy(*(f"at_{c}" for c in cell)).cogroup(cell_pairs.groupBy(cell)).applyInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int = 80, most_broadcast: int = 500_000, block: int = 1 << 18, common: int = 8) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int = 80, most_broadcast: int = 500_000, block: int = 1 << 18, common: int = 8, shingle: int = 2) -> DataFrame:
     """doc_id, key, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text).
 
     ``block`` bounds the shingles of a block of a list's members, but for a text that has more.
     Pairs must share ``common`` inverted lists (or all that small sets need to share).
     """
     docs = docs.select("doc_id", text_key().alias("key"), "text")
-    table = materialize(_sets(docs, k), "sketches")
+    table = materialize(_sets(docs, k, shingle), "sketches")
     members = table.where("n > 0").select("doc_id", "key", "n", "sig", "node")
     first = members.groupBy("sig").agg(F.min(F.struct("doc_id", "key")).alias("of"))
     sketches = table.where("n > 0").join(first.select(F.col("of.doc_id").alias("d"), F.col("of.key").alias("t")), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("t")))
@@ -143,7 +150,7 @@ def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int
         if owners.count() <= most_broadcast:
             owners = F.broadcast(owners)
         texts = docs.join(owners, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["key"] == F.col("t")), "left_semi")
-        return materialize(_sets(texts, None).select("node", "values", "n"), "sets")
+        return materialize(_sets(texts, None, shingle).select("node", "values", "n"), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
         # by the union of the sketches, which for sets within k are the sets
@@ -175,4 +182,4 @@ def near_duplicates(docs: DataFrame, k: int = 96, least: int = 52, percent: int
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("key")
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=2).drop("key")

@@ -183,6 +183,38 @@ def test_near_duplicates_away_from_pivots(spark):
     assert check_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rows, ((96, 52),), block=1000) > 3
 
 
+def test_near_duplicates_stage_compares_five_words(spark):
+    import corpus_pipeline
+
+    r, rows = random.Random(12), []
+    for i in range(12):
+        w = [f"u{i}x{r.randrange(500)}" for _ in range(100)]
+        rows.append((10 * i, " ".join(w)))
+        for k, edits in enumerate((1, 2, 4, 5), 1):
+            v = list(w)
+            for at in range(edits):
+                v[10 + 19 * at] = f"new{k}"
+            rows.append((10 * i + k, " ".join(v)))
+    texts = ["one two three four", "One two three four", "one two three", "four", "four", "", "", None, "one two three four five", "one two three four five"]
+    rows += [(1000 + i, t) for i, t in enumerate(texts)]
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return frozenset(ngrams(w, 5) if len(w) > 4 else [tuple(w)] if w else [])
+
+    sets = [shingles(t) for _, t in rows]
+    group = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    want = {min(d for (d, _), h in zip(rows, group) if h == g) for g in group}
+    assert len(want) > 18
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x["doc_id"] for x in corpus_pipeline.near(spark, docs, "").collect()} == want
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(r.randint(200, 260), r.randint(200, 260)) for _ in range(50)]
