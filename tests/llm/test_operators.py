@@ -309,6 +309,18 @@ def test_word_edit_distance(spark):
     assert row.select(line_dedup.edit_distance(*words, 1024)).first()[0] == 2
 
 
+def test_long_lines_with_a_shift(spark):
+    words = [f"w{i}" for i in range(2000)]
+    new = [f"n{i}" for i in range(501)]
+    rows = [(" ".join(words), " ".join(new[:k] + words), k) for k in (0, 200, 500, 501)]
+    pairs = spark.createDataFrame(rows, "x string, y string, k int")
+    x, y = (line_dedup.word_codes(F.split(c, " ")) for c in ("x", "y"))
+    got = {r["k"]: r["d"] for r in pairs.select("k", line_dedup.edit_distance(x, y, line_dedup.most_edits(F.size(F.split("y", " ")), 80)).alias("d")).collect()}
+    assert got == {0: 0, 200: 200, 500: 500, 501: -1}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate((rows[1][0], rows[1][1]))], "doc_id long, text string")
+    assert {r["doc_id"]: r["_n_removed"] for r in line_dedup.dedup_lines(docs).collect()} == {0: 0, 1: 1}
+
+
 def test_rules(spark, docs, rows, none):
     got = {(r["doc_id"], r["n_words"], r["n_repeat_words"], r["n_dup_lines"]) for r in quality_rules.measure(docs).collect()}
     for d, t, *_ in rows:
