@@ -3,9 +3,9 @@ row keys, Arrow slicing and vectorised word hashing."""
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -32,19 +32,40 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/lectern/{label}-{uuid.uuid4().hex}"
 
 
+#: Spark's own setting: a finished execution's shuffle files go at once.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` to a shared table and read it back.
 
-    Spark deletes a finished plan's shuffle files once the driver has collected
-    it as garbage, so that is asked for here: a step's files need not lie beside
-    the next step's.
+    A step's shuffle files need not lie beside the next step's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more."""
+    for table in tables:
+        path = _paths.pop(table, None)
+        if path:
+            remove_path(table.sparkSession, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,13 +1,11 @@
-"""Connected components, and linking the members of inverted lists without all pairs."""
+"""Connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import materialize
+from lectern.llm.common import drop_tables, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,83 +15,19 @@ def components(edges: DataFrame) -> DataFrame:
     own label, so chains shorten by doubling; labels go to a shared table each
     round, and the loop ends when a round changes none.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    both = materialize(both, "edges")
-    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
+    back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = materialize(edges.select("a", "b").unionByName(back).where("a <> b").distinct(), "edges")
+    labels = both.groupBy("a").agg(F.min("b").alias("m"))
+    labels = materialize(labels.select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
     while True:
         around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("m"))
-        step = labels.join(around, labels["node"] == around["a"]).select("node", F.least("component", "m").alias("component"), F.col("component").alias("before"))
+        step = labels.join(around, labels["node"] == around["a"])
+        step = step.select("node", F.least("component", "m").alias("component"), F.col("component").alias("before"))
         jump = labels.select(F.col("node").alias("via"), F.col("component").alias("further"))
-        step = step.join(jump, step["component"] == jump["via"], "left").select("node", F.least("component", "further").alias("component"), "before")
-        labels = materialize(step, "labels")
+        step = step.join(jump, step["component"] == jump["via"], "left")
+        step = step.select("node", F.least("component", "further").alias("component"), "before")
+        done, labels = labels, materialize(step, "labels")
+        drop_tables(done)
         if labels.where("component <> before").isEmpty():
-            return labels.select("node", "component")
-
-
-def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
-    return rows.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-
-
-def around_pivots(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], least_lists: int = 1) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Hold every member of a list (key, node, rank, size) against two members of it.
-
-    These pivots are the smallest member and the one of least rank (the most
-    typical). A pair is tried if they meet so in ``least_lists`` lists or more.
-    ``verify`` keeps the pairs (a, b) that are linked. Returns the
-    pairs, the edges, the components (node, component), and the members (key,
-    node, size, component, main) of lists that still span several components,
-    with the largest of them.
-    """
-    pivots = lists.groupBy("key").agg(F.min_by("node", F.struct("rank", "node")).alias("typical"), F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
-    pivots = pivots.select("key", F.explode(F.array("typical", "least")).alias("pivot"))
-    met = lists.join(pivots.distinct(), "key").where("node <> pivot").groupBy(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).agg(F.count("*").alias("met"))
-    pairs = materialize(met.where(F.col("met") >= least_lists).select("a", "b"), "pairs")
-    edges = materialize(verify(pairs), "links")
-    first = components(edges)
-    named = lists.join(first, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
-    named = materialize(named, "named")
-    main = named.groupBy("key", "component").count().groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    split = materialize(named.join(main, "key").select("key", "node", "size", "component", "main"), "split")
-    return pairs, edges, first, split
-
-
-def connect(lists: DataFrame, fits: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame], whole: Column | None = None) -> DataFrame:
-    """node, component from inverted lists (key, node, rank, size).
-
-    Where a list still spans several components after the pivots, all its pairs
-    across components are verified too: each member outside the list's largest
-    component against all members of other components. So no linked pair of a
-    list is left unconnected, while a list whose members are one component
-    costs two pairs a member. ``fits`` compares two sizes first. ``whole`` says
-    for which lists this is done, if some hold the pairs of all others.
-    """
-    pairs, edges, first, split = around_pivots(lists, verify)
-    split = split if whole is None else split.where(whole)
-    outer = split.where("component <> main").select("key", F.col("node").alias("x"), F.col("size").alias("x_size"), F.col("component").alias("x_component"))
-    across = split.join(outer, "key").where((F.col("component") != F.col("x_component")) & ((F.col("component") == F.col("main")) | (F.col("node") < F.col("x"))) & fits(F.col("size"), F.col("x_size")))
-    more = materialize(_pairs(across, "node", "x").join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if more.isEmpty():
-        return first
-    return components(edges.unionByName(verify(more)))
-
-
-def pairs_across(split: DataFrame, fits: Callable[[Column, Column], Column], common: Callable[[Column], Column], block: int) -> DataFrame:
-    """list, a, b, a_component, b_component, a_block, b_block: the pairs across components of ``split``, each once.
-
-    Linked texts of size x and y share as many lists as the smaller of
-    ``common`` of x and of y says; other pairs are left out. A pair belongs to
-    the least list it shares, so it is made in one list only. A list's members
-    are dealt to blocks of about ``block`` in total size, so (list, a_block,
-    b_block) is a group of bounded size that needs each member's data once, not
-    once a pair.
-    """
-    mine = split.groupBy("node").agg(F.array_sort(F.collect_set("key")).alias("lists"))
-    blocks = split.groupBy("key").agg(F.ceil(F.sum("size") / block).alias("blocks"))
-    rows = split.join(blocks, "key").withColumn("part", F.pmod(F.xxhash64("node"), "blocks").cast("int")).join(mine, "node")
-    rows = materialize(rows.select(F.col("key").alias("list"), "node", "size", "component", (F.col("component") != F.col("main")).alias("outer"), "part", "lists"), "rows")
-    x = rows.where("outer").select(*(F.col(c).alias(f"x_{c}") for c in rows.columns)).withColumnRenamed("x_list", "list")
-    shared = F.array_intersect("lists", "x_lists")
-    fit = (F.col("component") != F.col("x_component")) & (~F.col("outer") | (F.col("node") < F.col("x_node"))) & fits(F.col("size"), F.col("x_size"))
-    once = (F.get(shared, F.lit(0)) == F.col("list")) & (F.size(shared) >= F.least(common(F.col("size")), common(F.col("x_size"))))
-    both = rows.join(x, "list").where(fit).where(once)
-    return both.select("list", F.col("node").alias("a"), F.col("x_node").alias("b"), F.col("component").alias("a_component"), F.col("x_component").alias("b_component"), F.col("part").alias("a_block"), F.col("x_part").alias("b_block"))
+            drop_tables(both)
+            return labels.drop("before")
