@@ -2,24 +2,27 @@
 
 Each window of ``window`` words is an edge between the word sequences it starts
 and ends with. The graph keeps edges that may occur in two documents: windows
-whose minimiser (the smallest hash of its inner word runs) occurs in two. Runs
-of kept edges in a text are paths; they are cut where an edge's hash says so, so
-equal passages are cut alike, and equal pieces compact to one node, named by a
-digest of their words. A join of the pieces with each node's first document
-settles every later copy of a piece at once. Only one copy of each piece is
-opened into edges, which a second join resolves against the first document that
-holds each edge. Piece offsets and source coordinates then give the words to
-remove in each text.
-
-The set of repeated minimisers is sent out as a Bloom filter up to
-``most_bytes``; beyond that all edges are kept, which costs a larger shuffle and
-changes no result. Edges are compared by 64-bit hashes, pieces by 128-bit
-digests of their words.
+whose minimiser (the smallest hash of its inner word runs) occurs in two. One
+aggregation over the minimisers of all texts gives, beside their documents, the
+minimisers that stand before and after each: one that has two different ones on
+a side is a branching node. Between branching nodes a path is compacted to one
+piece, named by a digest of its words, so equal passages give equal pieces
+wherever they stand. A join of the pieces with each one's first document settles
+every later copy of a piece at once. Only one copy of each piece is opened into
+edges, which a second join resolves against the first document that holds each
+edge. Piece offsets and source coordinates then give the words to remove in each
+text.
+
+Pieces are equal if 128-bit digests of their words are, edges if two independent
+64-bit hashes are; nothing rests on one 64-bit hash. Repeated and branching
+minimisers are sent out as Bloom filters up to ``most_bytes`` each; beyond that
+all edges are kept, or paths are cut only where kept edges end, which costs a
+larger shuffle and changes no result.
 
 Defined results: null texts have no words; rows with a null doc_id are returned
 whole and are nobody's source; rows that repeat a doc_id are judged one by one,
 and only against smaller doc_ids; an empty table gives no rows; other columns
-pass through.
+pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,12 +36,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import SALTS, materialize, mix, text_buffer, text_key, text_slices, word_hashes
+from lectern.llm.common import SALTS, drop_tables, materialize, mix, text_buffer, text_key, text_slices, word_hashes
 from lectern.llm.url_filter import build_bloom
 
-CUT_EVERY = 32
-
-
 def _windows(h: np.ndarray, bounds: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Places at which a window of one row starts, and their rows."""
     per = np.maximum(np.diff(bounds) - window + 1, 0)
@@ -47,13 +47,14 @@ def _windows(h: np.ndarray, bounds: np.ndarray, window: int) -> tuple[np.ndarray
     return place, row
 
 
-def _rolling(h: np.ndarray, size: int) -> np.ndarray:
+def _rolling(h: np.ndarray, size: int, salt: int = 20) -> np.ndarray:
+    """A hash of each run of ``size`` words; ``salt`` tells independent ones apart."""
     n = len(h) - size + 1
     if n <= 0:
         return h[:0]
     out = np.zeros(n, np.uint64)
     for j in range(size):
-        out += h[j : j + n] * SALTS[20 + j]
+        out += h[j : j + n] * SALTS[(salt + j) % len(SALTS)]
     return mix(out)
 
 
@@ -71,7 +72,7 @@ def minimisers(h: np.ndarray, place: np.ndarray, window: int) -> np.ndarray:
 
 
 def repeated_minimisers(docs: DataFrame, window: int) -> DataFrame:
-    """Minimisers (m) of two doc_ids or more."""
+    """Minimisers (m) of two doc_ids or more, and whether each is a branching node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,80 +82,104 @@ def repeated_minimisers(docs: DataFrame, window: int) -> DataFrame:
                 m = minimisers(h, place, window)
                 new = np.ones(len(m), bool)
                 new[1:] = (m[1:] != m[:-1]) | (row[1:] != row[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(m[new].view(np.int64)), rows.column(0).take(pa.array(row[new]))], names=["m", "doc_id"])
+                m, row = m[new].view(np.int64), row[new]
+                before, after = np.zeros((2, len(m)), np.int32)
+                same = row[1:] == row[:-1]
+                low = m.astype(np.int32)
+                before[1:], after[:-1] = np.where(same, low[:-1], 0), np.where(same, low[1:], 0)
+                cols = [pa.array(m), rows.column(0).take(pa.array(row)), pa.array(before), pa.array(after)]
+                yield pa.RecordBatch.from_arrays(cols, names=["m", "doc_id", "before", "after"])
 
-    found = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "m long, doc_id long")
-    return found.groupBy("m").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("m")
+    found = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "m long, doc_id long, before int, after int")
+    ends = [f(c).alias(f"{c}_{k}") for c in ("doc_id", "before", "after") for k, f in (("x", F.min), ("y", F.max))]
+    found = found.groupBy("m").agg(*ends).where("doc_id_x < doc_id_y")
+    return found.select("m", ((F.col("before_x") != F.col("before_y")) | (F.col("after_x") != F.col("after_y"))).alias("branching"))
 
 
-def pieces(docs: DataFrame, window: int, bloom) -> DataFrame:
-    """piece (digest), doc_id, key, start and the edges' hashes of every piece of every path."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom)
+def pieces(docs: DataFrame, window: int, repeated, branching) -> DataFrame:
+    """piece (digest), doc_id, key, start and the edges (two hashes each) of every piece of every path."""
+    shared = docs.sparkSession.sparkContext.broadcast((repeated, branching))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repeated, branching = shared.value
         for batch in batches:
             for rows in text_slices(batch):
                 raw, offsets = text_buffer(rows.column(2))
                 h, starts, ends, bounds = word_hashes(raw, offsets)
                 place, row = _windows(h, bounds, window)
-                if shared.value is not None:
-                    kept = shared.value.may_hold(minimisers(h, place, window).view(np.int64))
-                    place, row = place[kept], row[kept]
-                edge = _rolling(h, window)[place]
-                if not len(edge):
+                m = minimisers(h, place, window)
+                if repeated is not None:
+                    kept = repeated.may_hold(m.view(np.int64))
+                    place, row, m = place[kept], row[kept], m[kept]
+                if not len(place):
                     continue
+                edge, check = (_rolling(h, window, salt)[place] for salt in (20, 40))
                 head = np.ones(len(edge), bool)
-                head[1:] = (place[1:] != place[:-1] + 1) | (row[1:] != row[:-1]) | ((edge[:-1] >> np.uint64(40)) % np.uint64(CUT_EVERY) == 0)
+                head[1:] = (place[1:] != place[:-1] + 1) | (row[1:] != row[:-1])
+                if branching is not None:
+                    node = branching.may_hold(m.view(np.int64))
+                    head[1:] |= (m[1:] != m[:-1]) & (node[1:] | node[:-1])
                 first = np.flatnonzero(head)
                 last = np.append(first[1:], len(edge)) - 1
                 text = raw.tobytes()
                 a, b = starts[place[first]].tolist(), ends[place[last] + window - 1].tolist()
                 names = [hashlib.blake2b(b" ".join(text[x:y].split()), digest_size=16).digest() for x, y in zip(a, b, strict=True)]
-                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(edge)).astype(np.int32)), pa.array(edge.view(np.int64)))
+                cuts = pa.array(np.append(first, len(edge)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(x.view(np.int64))) for x in (edge, check)]
                 owner = pa.array(row[first])
-                cols = [pa.array(names, pa.binary()), rows.column(0).take(owner), rows.column(1).take(owner), pa.array((place[first] - bounds[:-1][row[first]]).astype(np.int32)), lists]
-                yield pa.RecordBatch.from_arrays(cols, names=["piece", "doc_id", "key", "start", "edges"])
+                at = pa.array((place[first] - bounds[:-1][row[first]]).astype(np.int32))
+                cols = [pa.array(names, pa.binary()), rows.column(0).take(owner), rows.column(1).take(owner), at, *lists]
+                yield pa.RecordBatch.from_arrays(cols, names=["piece", "doc_id", "key", "start", "edges", "checks"])
 
-    return docs.where("doc_id is not null").select("doc_id", "key", "text").mapInArrow(run, "piece binary, doc_id long, key long, start int, edges array<long>")
+    schema = "piece binary, doc_id long, key long, start int, edges array<long>, checks array<long>"
+    return docs.where("doc_id is not null").select("doc_id", "key", "text").mapInArrow(run, schema)
 
 
 def repeated_spans(docs: DataFrame, window: int = 13, most_bytes: int = 64 << 20, bits_per_key: int = 12) -> DataFrame:
     """doc_id, key and the spans (start, stop: words) that repeat windows of smaller doc_ids."""
     again = materialize(repeated_minimisers(docs, window), "minimisers")
-    count = again.count()
-    bloom = build_bloom(again, "m", count, bits_per_key) if count * bits_per_key <= 8 * most_bytes else None
-    found = materialize(pieces(docs, window, bloom), "pieces")
-    nodes = found.groupBy("piece").agg(F.min(F.struct("doc_id", "edges")).alias("first")).select("piece", F.col("first.doc_id").alias("first_doc"), F.col("first.edges").alias("edges"))
-    edges = nodes.select("piece", "first_doc", F.posexplode("edges").alias("at", "edge"))
-    edges = materialize(edges, "edges")
-    sources = edges.groupBy("edge").agg(F.min("first_doc").alias("source"), F.count("*").alias("n")).where("n > 1").select("edge", "source")
-    inner = edges.join(sources, "edge").where("source < first_doc").groupBy("piece").agg(F.sort_array(F.collect_list("at")).alias("inner"))
-    first = edges.where("at = 0").select("piece", "first_doc")
-    placed = found.select("piece", "doc_id", "key", "start", F.size("edges").alias("n")).join(first, "piece").join(inner, "piece", "left")
+
+    def filter_of(rows: DataFrame):
+        count = rows.count()
+        return build_bloom(rows, "m", count, bits_per_key) if count * bits_per_key <= 8 * most_bytes else None
+
+    found = materialize(pieces(docs, window, filter_of(again), filter_of(again.where("branching"))), "pieces")
+    drop_tables(again)
+    named = found.groupBy("piece").agg(F.min(F.struct("doc_id", "edges", "checks")).alias("first"))
+    named = named.select("piece", "first.*").withColumn("id", F.monotonically_increasing_id())
+    named = materialize(named.withColumnRenamed("doc_id", "first_doc"), "named")
+    edges = named.select("id", "first_doc", F.posexplode(F.arrays_zip("edges", "checks")).alias("at", "e"))
+    edges = edges.select("id", "first_doc", "at", "e.edges", "e.checks")
+    sources = edges.groupBy("edges", "checks").agg(F.min("first_doc").alias("source"), F.max("first_doc").alias("other"))
+    sources = materialize(sources.where("source < other").select("edges", "checks", "source"), "sources")
+    inner = edges.join(sources, ["edges", "checks"]).where("source < first_doc")
+    inner = materialize(inner.groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("inner")), "inner")
+    first = named.select("piece", "first_doc", "id", F.size("edges").alias("n")).join(inner, "id", "left")
+    placed = found.select("piece", "doc_id", "key", "start").join(first, "piece")
     whole = F.array(F.struct(F.col("start"), (F.col("start") + F.col("n") + window - 1).alias("stop")))
     parts = F.transform("inner", lambda i: F.struct((F.col("start") + i).alias("start"), (F.col("start") + i + window).alias("stop")))
     spans = placed.select("doc_id", "key", F.when(F.col("doc_id") > F.col("first_doc"), whole).otherwise(parts).alias("s")).where("s is not null")
-    return spans.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("s")).alias("spans"))
+    spans = materialize(spans.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
+    drop_tables(found, named, sources, inner)
+    return spans
 
 
 def drop_repeats(docs: DataFrame, window: int = 13, with_text: bool = False) -> DataFrame:
     """``docs`` (doc_id, text, ...) with _n_words, _n_removed and the kept words' digest, or with the kept words."""
-    keyed = docs.withColumn("key", text_key())
-    spans = repeated_spans(keyed, window)
-    spans = spans.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "spans").hint("shuffle_hash")
-    joined = keyed.join(spans, (keyed["doc_id"] == F.col("_d")) & (keyed["key"] == F.col("_k")), "left").drop("_d", "_k", "key")
-    names = joined.columns
-    extra = [T.StructField("_n_words", T.LongType()), T.StructField("_n_removed", T.LongType()), T.StructField("_kept" if with_text else "_kept_sha256", T.StringType())]
-    if not with_text:
-        names = [n for n in names if n not in ("text", "spans")]
-    schema = T.StructType([*(f for f in joined.schema.fields if f.name in names and f.name != "spans"), *extra])
+    kept_name = "_kept" if with_text else "_kept_sha256"
+    passed = [c for c in docs.columns if with_text or c != "text"]
+    row = F.struct(*(F.col(f"`{c}`") for c in passed)).alias("row")
+    keyed = docs.select(row, "doc_id", text_key().alias("key"), "text")
+    spans = repeated_spans(keyed.select("doc_id", "key", "text"), window)
+    spans = spans.select(F.col("doc_id").alias("d"), F.col("key").alias("t"), "spans").hint("shuffle_hash")
+    joined = keyed.join(spans, (keyed["doc_id"] == F.col("d")) & (keyed["key"] == F.col("t")), "left").select("row", "text", "spans")
+    extra = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in text_slices(batch):
-                col = {n: rows.column(rows.schema.get_field_index(n)) for n in rows.schema.names}
                 n_words, n_removed, kept = [], [], []
-                for text, cuts in zip(col["text"].to_pylist(), col["spans"].to_pylist(), strict=True):
+                for text, cuts in zip(rows.column("text").to_pylist(), rows.column("spans").to_pylist(), strict=True):
                     words = (text or "").encode().split()
                     left, at = [], 0
                     for c in sorted(cuts or (), key=lambda c: c["start"]):
@@ -165,10 +190,11 @@ def drop_repeats(docs: DataFrame, window: int = 13, with_text: bool = False) ->
                     n_removed.append(len(words) - len(left))
                     joined_words = b" ".join(left)
                     kept.append(joined_words.decode() if with_text else hashlib.sha256(joined_words).hexdigest())
-                passed = [n for n in names if n != "spans"]
-                yield pa.RecordBatch.from_arrays([*(col[n] for n in passed), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=[*passed, *(f.name for f in extra)])
+                cols = [rows.column("row"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=["row", *(f.name for f in extra)])
 
-    return joined.mapInArrow(run, schema)
+    out = joined.mapInArrow(run, T.StructType([joined.schema["row"], *extra]))
+    return out.select("row.*", F.col("n_words").alias("_n_words"), F.col("n_removed").alias("_n_removed"), F.col("kept").alias(kept_name))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
