@@ -42,14 +42,14 @@ def token_pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for rows in text_slices(batch):
+            for rows in text_slices(batch, limit=8 << 20):
                 out = []
-                texts = [t or "" for t in rows.column(1).to_pylist()]
-                for d, ids in zip(rows.column(0).to_pylist(), encoder(tokenizer).encode(texts), strict=True):
-                    raw = memoryview(ids + end)
+                ids, bounds = encoder(tokenizer).encode_column(rows.column(1))
+                for d, low, high in zip(rows.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    raw = memoryview(ids[low:high].tobytes() + end)
                     n = len(raw) // 4
-                    bounds = [0, *range(n % capacity or min(n, capacity), n + 1, capacity)]
-                    for k, (a, b) in enumerate(zip(bounds, bounds[1:])):  # noqa: B905
+                    cuts = [0, *range(n % capacity or min(n, capacity), n + 1, capacity)]
+                    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):  # noqa: B905
                         piece = raw[4 * a : 4 * b]
                         out.append((d, k, a, b - a, zlib.crc32(piece)) + ((bytes(piece),) if with_ids else ()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f[1]) for c, f in zip(zip(*out, strict=True), fields, strict=True)], schema=pa.schema(fields))

@@ -136,11 +136,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
             return pa.RecordBatch.from_pydict(rows, pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("image", pa.binary())]))
 
         for batch in batches:
-            for part_of in text_slices(batch):
-                for d, x in zip(part_of.column(0).to_pylist(), encoder(tokenizer).encode([t or "" for t in part_of.column(1).to_pylist()]), strict=True):
+            for rows in text_slices(batch, limit=8 << 20):
+                new, bounds = encoder(tokenizer).encode_column(rows.column(1))
+                for d, a, b in zip(rows.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                     doc_ids.append(d)
-                    ids.append(x + end)
-                    held += len(x) // 4 + 1
+                    ids.append(new[a:b].tobytes() + end)
+                    held += b - a + 1
                     if held >= shard_tokens:
                         yield flush()
                         seq, held, doc_ids, ids = seq + 1, 0, [], []

@@ -2,7 +2,9 @@
 
 The byte-level pre-tokenizer never joins what stands before and after a single
 space between two non-space characters, so a text is encoded piece by piece
-there, and each worker keeps the ids of the pieces it has met.
+there, and each worker keeps the ids of the pieces it has met. A slice of texts
+is cut, and its pieces told apart, as one Arrow column; only different pieces
+are looked up one by one.
 """
 
 from __future__ import annotations
@@ -12,6 +14,10 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from lectern.llm.common import text_buffer
 
 #: Ends each document.
 END_ID = 2
@@ -26,9 +32,8 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-#: White space that may not stand before the space at which a text is cut.
-_ASCII_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
-_OTHER_SPACE = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+#: A space that does not stand alone, or may not: such texts are cut by ``_CUT``.
+_UNSAFE = "[ \\t\\n\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}] "
 
 
 class PieceEncoder:
@@ -82,21 +87,44 @@ class PieceEncoder:
                 self.held += 2 * len(p) + len(ids) + 180
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        unsafe = "\x00" in text or any(c + " " in text for c in _ASCII_SPACE)
-        if unsafe or not text.isascii() and any(c + " " in text for c in _OTHER_SPACE):
-            return _CUT.split(text)
-        return text.replace(" ", "\x00 ").split("\x00")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces(t) for t in texts]
+    def _cut(col: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of a string column, and the rows' bounds among them."""
+        raw, offsets = text_buffer(col)
+        starts = raw == 32
+        starts[offsets[:-1][offsets[:-1] < len(raw)]] = True
+        unsafe = pc.fill_null(pc.match_substring_regex(col, _UNSAFE), False)
+        for i in np.flatnonzero(unsafe.to_numpy(zero_copy_only=False)).tolist():
+            a, b = offsets[i], offsets[i + 1]
+            sizes = [len(x.encode()) for x in _CUT.split(col[i].as_py())]
+            starts[a + 1 : b] = False
+            starts[a + np.cumsum(sizes[:-1], dtype=np.int64)] = True
+        first = np.flatnonzero(starts)
+        ends = pa.py_buffer(np.append(first, len(raw)).astype(np.int64))
+        found = pa.Array.from_buffers(pa.large_string(), len(first), [None, ends, pa.py_buffer(raw)])
+        return found, np.searchsorted(first, offsets)
+
+    def encode_column(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: none), one after the other, and the texts' bounds."""
+        found, rows = self._cut(col)
         if self.held > self.limit:
             self.known, self.held = {"": b""}, 0
-        missing = set().union(*split).difference(self.known)
+        told = found.dictionary_encode()
+        pieces = told.dictionary.to_pylist()
+        missing = {p for p in pieces if p not in self.known}
         if missing:
             self._learn(missing)
-        get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        ids = [self.known[p] for p in pieces]
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        code = told.indices.to_numpy(zero_copy_only=False)
+        width = size[code]
+        ends = np.concatenate([[0], np.cumsum(width)])
+        at = np.repeat((np.cumsum(size) - size)[code] - ends[:-1], width) + np.arange(ends[-1])
+        return flat[at], ends[rows]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        ids, bounds = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 @lru_cache(maxsize=1)
