@@ -1,15 +1,19 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
 A base rule rejects texts of under 10 words, or with over a fifth of their words
-in repeated five-word windows. Beyond it, each stratum (language) and measure
-(a share such as symbols per word character) gets a cutoff that labelled
-holdouts justify: candidates are tried from the mildest on, and one passes if
-an exact binomial bound shows that at most ``risk`` of the good documents lie
-beyond it: P(Bin(n, risk) <= k) <= level / tests, where k of n labelled good
-documents of the stratum lie beyond. The level is shared among all strata and
-measures (Bonferroni); within one, the fixed order from mild to strict with a
-stop at the first failure needs no further share. The strictest that passed
-applies; the risk of a stratum is the sum over its measures at most.
+in repeated five-word windows. Beyond it, each stratum (language) gets a cutoff
+on the largest of four shares (symbols per word character, equal lines, words in
+repeated windows, capitals) that labelled holdouts justify. Candidates are tried
+from the mildest on, and one passes if an exact binomial bound shows that at
+most ``risk`` of the stratum's good documents lie beyond it in any measure:
+P(Bin(n, risk) <= k) <= level / tests, where k of n labelled good documents lie
+beyond. The level is shared among all strata and their pool (Bonferroni); within
+one, the fixed order from mild to strict with a stop at the first failure needs
+no further share. The strictest that passed applies.
+
+``labels_needed`` good labels are the least that can justify anything; strata
+with fewer are pooled, and share the cutoff that their labels justify together
+(the bound then holds for the pool, not for each of its strata).
 
 Only counts of each stratum are gathered. Texts never leave their row: windows
 are hashed to 64 bits, sorted, and compared within the row.
@@ -17,19 +21,19 @@ are hashed to 64 bits, sorted, and compared within the row.
 Defined results: a null text has no words (base_failed); a null language is a
 stratum of its own; repeated rows are judged each; of several labels of one
 doc_id the smallest counts, null labels and doc_ids do not; without labels, or
-with too few, no cutoff applies; other columns are ignored.
+with too few in the pool, no cutoff applies; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import materialize, words_of
 
-#: Measures: (name, numerator, denominator), and candidate cutoffs from mild to strict.
+#: Measures: (name, numerator, denominator), and candidate cutoffs on them all, from mild to strict.
 MEASURES = [("symbols", "n_symbols", "word_chars"), ("dup_lines", "n_dup_lines", "n_lines"), ("repeats", "n_repeat_words", "n_words"), ("capitals", "n_capitals", "word_chars")]
 CUTOFFS = [0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04, 0.03]
 SYMBOLS = "#*$%&|<>"
@@ -62,9 +66,12 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def _beyond(k: int, cutoff: Column | float) -> Column:
-    _, part, whole = MEASURES[k]
-    return F.col(part) > cutoff * F.col(whole)
+def _beyond(cutoff: Column | float) -> Column:
+    """Whether any measure exceeds the cutoff."""
+    out = F.lit(False)
+    for _, part, whole in MEASURES:
+        out = out | (F.col(part) > cutoff * F.col(whole))
+    return out
 
 
 def _log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
@@ -79,38 +86,39 @@ def _log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.aggregate(terms, F.struct(none.alias("term"), none.alias("sum")), step, lambda acc: acc["sum"])
 
 
-def choose_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.01, level: float = 0.05) -> DataFrame:
-    """The strictest justified cutoff: lang, then one column a measure (null: none)."""
+def labels_needed(strata: int, risk: float, level: float) -> int:
+    """The good labels without which no cutoff can pass, even if none lies beyond it."""
+    return math.ceil(math.log(level / (strata + 1)) / math.log(1 - risk))
+
+
+def choose_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.02, level: float = 0.05) -> DataFrame:
+    """lang, labels (good ones that decided), pooled, and the strictest justified cutoff (null: none)."""
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
     held = measured.join(good, "doc_id", "left_semi")
-    counts = {f"k_{m}_{c}": F.count_if(_beyond(m, x)) for m in range(len(MEASURES)) for c, x in enumerate(CUTOFFS)}
-    strata = held.groupBy("lang").agg(F.count("*").alias("n"), *(v.alias(k) for k, v in counts.items()))
+    counts = [f"k_{c}" for c in range(len(CUTOFFS))]
+    strata = held.groupBy("lang").agg(F.count("*").alias("n"), *(F.count_if(_beyond(x)).alias(k) for k, x in zip(counts, CUTOFFS, strict=True)))
     strata = materialize(strata, "strata")
-    tests = max(1, strata.count()) * len(MEASURES)
-
-    def passes(m: int, c: int) -> Column:
-        k = F.col(f"k_{m}_{c}")
-        return F.when(k >= F.col("n") * risk, False).otherwise(_log_binomial_cdf(k, F.col("n"), risk) <= math.log(level / tests))
-
-    chosen = []
-    for m, (name, _, _) in enumerate(MEASURES):
-        best = F.lit(None).cast("double")
-        for c in reversed(range(len(CUTOFFS))):  # from the strictest in, so that the mildest is asked first
-            best = F.when(passes(m, c), F.coalesce(best, F.lit(CUTOFFS[c])))
-        chosen.append(best.alias(name))
-    return strata.select("lang", *chosen)
-
-
-def apply_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.01, level: float = 0.05, most_strata: int = 10_000) -> DataFrame:
-    """doc_id, lang, the measures, base_failed and kept of each document."""
+    found = strata.count()
+    pooled = strata.withColumn("pooled", F.col("n") < labels_needed(found, risk, level))
+    together = Window.partitionBy("pooled")
+    for c in ("n", *counts):
+        pooled = pooled.withColumn(c, F.when(F.col("pooled"), F.sum(c).over(together)).otherwise(F.col(c)))
+    cutoff = F.lit(None).cast("double")
+    for k, x in reversed(list(zip(counts, CUTOFFS, strict=True))):  # from the strictest in, so that the mildest is asked first
+        bound = _log_binomial_cdf(F.col(k), F.col("n"), risk) <= math.log(level / (found + 1))
+        cutoff = F.when((F.col(k) < F.col("n") * risk) & bound, F.coalesce(cutoff, F.lit(x)))
+    return pooled.select("lang", F.col("n").alias("labels"), "pooled", cutoff.alias("cutoff"))
+
+
+def apply_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, level: float = 0.05, most_strata: int = 10_000) -> DataFrame:
+    """doc_id, lang, the measures, cutoff, base_failed and kept of each document."""
     measured = materialize(measure(docs.select("doc_id", "lang", "text")).drop("text"), "measures")
-    cutoffs = materialize(choose_cutoffs(measured, labels, risk, level), "cutoffs").withColumnRenamed("lang", "stratum")
+    cutoffs = choose_cutoffs(measured, labels, risk, level).select(F.col("lang").alias("stratum"), "cutoff")
+    cutoffs = materialize(cutoffs, "cutoffs")
     if cutoffs.count() <= most_strata:
         cutoffs = F.broadcast(cutoffs)
     joined = measured.join(cutoffs, measured["lang"].eqNullSafe(F.col("stratum")), "left")
-    rejected = base_failed()
-    for m, (name, _, _) in enumerate(MEASURES):
-        rejected = rejected | F.coalesce(_beyond(m, F.col(name)), F.lit(False))
+    rejected = base_failed() | F.coalesce(_beyond(F.col("cutoff")), F.lit(False))
     return joined.withColumns({"base_failed": base_failed(), "kept": ~rejected}).drop("stratum")
 
 
@@ -120,7 +128,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-_PARTS = ", ".join(f"('{name}', {part}, {whole})" for name, part, whole in MEASURES)
+_OVER = " OR ".join(f"{part} > cut * {whole}" for _, part, whole in MEASURES)
 OP3_SQL = rf"""
 WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
@@ -131,14 +139,14 @@ win AS (SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS k FROM (SELECT d
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM win) WHERE n > 1),
 cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM rep) GROUP BY doc_id),
 m AS (SELECT f.*, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words FROM f LEFT JOIN cov USING (doc_id)),
-long AS (SELECT doc_id, lang, u.name, u.part, u.whole FROM m, LATERAL (VALUES {_PARTS}) AS u(name, part, whole)),
 good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
 cand AS (SELECT * FROM (VALUES {", ".join(f"({i}, CAST({x} AS DOUBLE))" for i, x in enumerate(CUTOFFS))}) AS c(o, cut)),
-tried AS (SELECT lang, name, o, cut, count(*) AS n, count(*) FILTER (WHERE part > cut * whole) AS k FROM long JOIN good USING (doc_id), cand GROUP BY ALL),
-tests AS (SELECT greatest(1, count(DISTINCT coalesce(lang, chr(0)))) * {len(MEASURES)} AS tests FROM tried),
-judged AS (SELECT lang, name, o, cut, CASE WHEN k >= n * 0.01 THEN FALSE ELSE (SELECT sum(exp(lgamma(n + 1) - CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99))) FROM (SELECT unnest(range(0, k + 1)) AS i)) <= 0.05 / tests END AS ok FROM tried, tests),
-best AS (SELECT lang, name, min(cut) AS cut FROM judged j WHERE ok AND NOT EXISTS (SELECT 1 FROM judged x WHERE x.lang IS NOT DISTINCT FROM j.lang AND x.name = j.name AND x.o < j.o AND NOT x.ok) GROUP BY ALL),
-bad AS (SELECT DISTINCT doc_id FROM long JOIN best ON long.lang IS NOT DISTINCT FROM best.lang AND long.name = best.name WHERE part > cut * whole)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR doc_id IN (SELECT doc_id FROM bad)) AS kept FROM m
+raw AS (SELECT lang, o, cut, count(*) AS n, count(*) FILTER (WHERE {_OVER}) AS k FROM m JOIN good USING (doc_id), cand GROUP BY ALL),
+tests AS (SELECT 1 + count(DISTINCT coalesce(lang, chr(0))) AS tests FROM raw),
+sized AS (SELECT raw.*, tests, n < ceil(ln(0.05 / tests) / ln(0.98)) AS pooled FROM raw, tests),
+tried AS (SELECT lang, o, cut, tests, CAST(CASE WHEN pooled THEN sum(n) OVER p ELSE n END AS BIGINT) AS n, CAST(CASE WHEN pooled THEN sum(k) OVER p ELSE k END AS BIGINT) AS k FROM sized WINDOW p AS (PARTITION BY pooled, o)),
+judged AS (SELECT lang, o, cut, CASE WHEN k >= n * 0.02 THEN FALSE ELSE (SELECT sum(exp(lgamma(n + 1) - CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END - lgamma(n - i + 1) + i * ln(0.02) + (n - i) * ln(0.98))) FROM (SELECT unnest(range(0, k + 1)) AS i)) <= 0.05 / tests END AS ok FROM tried),
+best AS (SELECT lang, min(cut) AS cut FROM judged j WHERE ok AND NOT EXISTS (SELECT 1 FROM judged x WHERE x.lang IS NOT DISTINCT FROM j.lang AND x.o < j.o AND NOT x.ok) GROUP BY ALL),
+verdict AS (SELECT m.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, cut IS NOT NULL AND ({_OVER}) AS beyond FROM m LEFT JOIN best ON m.lang IS NOT DISTINCT FROM best.lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR beyond) AS kept FROM verdict
 """
