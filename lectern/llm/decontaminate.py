@@ -4,12 +4,14 @@ The automaton holds every substring of the normalised test items. Training
 tokens stream through it, and the length of the longest match at each token
 tells which words lie in an occurrence of an item window. The items are read in
 blocks of bounded size (``block_bytes``): each block's automaton is broadcast
-and all documents stream past it, so a larger benchmark takes more passes, not
-more memory. No shuffle of documents.
+and all documents stream past it, one pass after the other with a table between,
+so a larger benchmark takes more passes, not more memory. No shuffle of
+documents.
 
 Defined results: null texts have no words; an item without words has no window;
 a null item_id still marks words, but is not listed; repeated rows are judged
-each; empty tables give no hits; other columns pass through.
+each; empty tables give no hits; other columns pass through, but for those with
+the name of a column that is added, which are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import text_slices
+from lectern.llm.common import drop_tables, materialize, text_slices
 
 #: Letters fold to lower case, other ASCII but digits separates words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -152,7 +154,7 @@ def mark(docs: DataFrame, items: DataFrame, window: int = 13, block_bytes: int =
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + total // block_bytes
     out = docs.withColumns({"_n_words": F.lit(0).cast("long"), "_spans": F.lit(None).cast(_SPAN), "_items": F.lit(None).cast("array<string>")})
-    schema, names = out.schema, out.columns
+    schema, names, last = out.schema, out.columns, None
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         automaton = spark.sparkContext.broadcast(ItemAutomaton([tuple(r) for r in part.collect()], window))
@@ -174,6 +176,11 @@ def mark(docs: DataFrame, items: DataFrame, window: int = 13, block_bytes: int =
                     yield pa.RecordBatch.from_arrays([new.get(n, rows.column(i)) for i, n in enumerate(names)], names=names)
 
         out = out.mapInArrow(scan, schema)
+        if b + 1 < blocks:  # the next automaton takes this one's place
+            before, out = last, materialize(out, "marked")
+            last = out
+            automaton.unpersist()
+            drop_tables(*([before] if before is not None else []))
     return out
 
 

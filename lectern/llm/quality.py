@@ -155,8 +155,12 @@ def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, folds: int = 5) -> GatedAttention:
-    """Learn from at most ``sample`` labelled documents outside the held-out fold."""
+def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, folds: int = 5, passages: int = 512) -> GatedAttention:
+    """Learn from at most ``sample`` labelled documents outside the held-out fold.
+
+    A document of more than ``passages`` passages is learnt from so many, evenly
+    spread; scores always see all.
+    """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(folds=folds))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -165,7 +169,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, folds: i
         for batch in batches:
             for rows in text_slices(batch):
                 x, first = encode_passages(*text_buffer(rows.column(1)))
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([x[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary())], names=["doc_id", "quality", "bag"])
+                kept = [x[a:b][np.linspace(0, b - a - 1, min(b - a, passages)).astype(np.int64)] for a, b in zip(first, first[1:], strict=False)]
+                bag = pa.array([k.tobytes() for k in kept], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), bag], names=["doc_id", "quality", "bag"])
 
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", F.col("quality").cast("int"))
     rows = texts.mapInArrow(bags, "doc_id long, quality int, bag binary").toArrow().sort_by("doc_id").to_pydict()
@@ -175,7 +181,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, folds: i
 
 
 def score_quality(docs: DataFrame, model: GatedAttention) -> DataFrame:
-    """``docs`` with score; the text is the only input."""
+    """``docs`` with _score (a column of that name is replaced); the text is the only input."""
+    docs = docs.drop("_score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -165,8 +165,9 @@ def repeated_spans(docs: DataFrame, window: int = 13, most_bytes: int = 64 << 20
 
 
 def drop_repeats(docs: DataFrame, window: int = 13, with_text: bool = False) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with _n_words, _n_removed and the kept words' digest, or with the kept words."""
+    """``docs`` (doc_id, text, ...) with _n_words, _n_removed and the kept words' digest, or with the kept words; columns of these names are replaced."""
     kept_name = "_kept" if with_text else "_kept_sha256"
+    docs = docs.drop("_n_words", "_n_removed", kept_name)
     passed = [c for c in docs.columns if with_text or c != "text"]
     row = F.struct(*(F.col(f"`{c}`") for c in passed)).alias("row")
     keyed = docs.select(row, "doc_id", text_key().alias("key"), "text")

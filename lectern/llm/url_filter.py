@@ -13,7 +13,8 @@ rule's path has characters.
 Defined results: a null url, or one without ``://``, has an empty host and path
 and fits no rule; repeated urls are judged once and joined back to their rows;
 of equally long rules the one with the longer host, then the smaller text,
-wins; without rules all urls are allowed; other columns pass through.
+wins; without rules all urls are allowed; other columns pass through, but for
+those named host, path, rule or verdict, which are replaced.
 """
 
 from __future__ import annotations
@@ -77,6 +78,7 @@ def build_bloom(keys: DataFrame, column: str, count: int, bits_per_key: int = 16
 def filter_urls(pages: DataFrame, rules: DataFrame, most_bytes: int = 64 << 20, bits_per_key: int = 16) -> DataFrame:
     """``pages`` (a column url) with host, path, rule and verdict. ``rules``: host, path, verdict."""
     spark = pages.sparkSession
+    pages = pages.drop("host", "path", "rule", "verdict")
     rules = rules.select(F.concat("host", "path").alias("rule"), F.length("host").alias("host_chars"), "verdict", F.length("path").alias("path_chars"))
     rules = rules.groupBy("rule", "host_chars", "path_chars").agg(F.max("verdict").alias("verdict")).withColumn("key_hash", F.xxhash64("rule"))
     lengths = sorted(r[0] for r in rules.select("path_chars").distinct().collect() if r[0] is not None)
