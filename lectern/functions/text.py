@@ -20,7 +20,7 @@ _GAP = r"[ \t]*\n?[ \t]*"
 LATEX_CITE = rf"\\[A-Za-z]*[Cc]ite[A-Za-z]*{_GAP}\*?(?:{_GAP}\[[^\]]*\])*{_GAP}\{{([^}}]+)\}}"
 PANDOC_CITE = r"(?<![A-Za-z0-9._%+\-\\])-?@([A-Za-z][A-Za-z0-9_-]*)"
 #: Fenced blocks, verbatim environments and inline spans, in the order they are blanked.
-CODE = [r"(?ms)^(`{3,}|~{3,})[^\n]*\n.*?^\1[ \t]*$", r"(?s)\\begin\{(verbatim|lstlisting|minted)\*?\}.*?\\end\{\1\*?\}", r"`[^`\n]+`"]
+CODE = [r"(?s)```.*?```", r"(?s)\\begin\{(verbatim|lstlisting|minted)\*?\}.*?\\end\{\1\*?\}", r"`[^`\n]+`"]
 
 
 def _text(x: Column | str) -> Column:
@@ -87,20 +87,30 @@ def blank_code(rows: DataFrame, column: str) -> DataFrame:
 
 
 def citations(x: Column | str) -> Column:
-    """offset, place, line and citekey of each citation of a text with blanked code, in document order."""
+    """offset, place, line and citekey of each citation of a text with blanked code, in document order.
+
+    Offsets and lines are running sums over the pieces between the markers.
+    """
     text = _text(x)
 
+    def lines(t: Column) -> Column:
+        return F.length(t) - F.length(F.translate(t, "\n", ""))
+
     def found(pattern: str) -> Column:
         between, whole = _spans(text, pattern)
         keys = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+        steps = F.arrays_zip(between.alias("a"), whole.alias("b"), keys.alias("k"))
+        none = F.array().cast("array<struct<offset:int,place:int,line:int,citekey:string>>")
+        start = F.struct(F.lit(0).alias("offset"), F.lit(1).alias("line"), none.alias("out"))
 
-        def at(m: Column, i: Column) -> Column:
-            before = F.array_join(F.flatten(F.transform(F.arrays_zip(F.slice(between, 1, i + 1).alias("a"), F.slice(whole, 1, i).alias("b")), lambda z: F.array(F.coalesce(z["a"], F.lit("")), F.coalesce(z["b"], F.lit(""))))), "")
-            parts = F.filter(F.transform(F.split(F.get(keys, i), ","), lambda k: F.trim(k)), lambda k: k != "")
-            line = F.length(before) - F.length(F.translate(before, "\n", "")) + 1
-            return F.transform(parts, lambda k, j: F.struct(F.length(before).alias("offset"), j.alias("place"), line.alias("line"), k.alias("citekey")))
+        def step(acc: Column, z: Column) -> Column:
+            a, b = F.coalesce(z["a"], F.lit("")), F.coalesce(z["b"], F.lit(""))
+            offset, line = acc["offset"] + F.length(a), acc["line"] + lines(a)
+            parts = F.filter(F.transform(F.split(F.coalesce(z["k"], F.lit("")), ","), lambda k: F.trim(k)), lambda k: k != "")
+            own = F.transform(parts, lambda k, j: F.struct(offset.alias("offset"), j.alias("place"), line.alias("line"), k.alias("citekey")))
+            return F.struct((offset + F.length(b)).alias("offset"), (line + lines(b)).alias("line"), F.concat(acc["out"], own).alias("out"))
 
-        return F.flatten(F.transform(whole, at))
+        return F.aggregate(steps, start, step, lambda acc: acc["out"])
 
     return F.array_sort(F.concat(found(LATEX_CITE), found(PANDOC_CITE)))
 
@@ -132,19 +142,24 @@ def collection_slug(x: Column | str) -> Column:
 
 
 def strip_images(x: Column | str) -> Column:
-    """Markdown without image references and image comments, blank lines collapsed."""
-    out = F.regexp_replace(_text(x), r"(?m)^[ \t]*(!\[[^\]]*\]\([^)]*\)|<!-- image -->)[ \t]*$", "")
-    return F.regexp_replace(out, r"\n{3,}", "\n\n")
+    """Markdown without lines that hold an image or an image comment only, runs of blank lines shortened to one."""
+    line = F.transform(F.split(_text(x), "\n", -1), lambda t: F.when(F.trim(t).rlike(r"^(!\[[^\]]*\]\([^)]*\)|<!--\s*image\s*-->)$"), "").otherwise(t))
+    return F.regexp_replace(F.array_join(line, "\n"), r"\n\n\n+", "\n\n")
+
+
+#: Names that Windows keeps for devices, and characters that no file name may hold.
+DEVICES = "^(CON|PRN|AUX|NUL|COM[1-9]|LPT[1-9])$"
+ILLEGAL = r'[/\\:*?"<>|\x00-\x1f]'
 
 
 def citekey_problem(x: Column | str) -> Column:
     """Why a citekey can't name a file; null if it can."""
     key = _text(x)
-    device = F.upper(F.split(key, r"\.", 2)[0]).rlike("^(CON|PRN|AUX|NUL|COM[1-9]|LPT[1-9])$")
+    device = F.upper(F.split(key, r"\.", 2)[0]).rlike(DEVICES)
     return (
         F.when(key == "", "empty")
         .when(key.isin(".", ".."), "a directory name")
-        .when(key.rlike(r'[/\\:*?"<>|\x00-\x1f]'), "an illegal character")
+        .when(key.rlike(ILLEGAL), "an illegal character")
         .when(key.rlike(r"[. ]$"), "a trailing dot or space")
         .when(device, "a reserved device name")
     )

@@ -1,0 +1,165 @@
+"""Reference lists: IEEE names and entries, numbered sections, renumbered drafts."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from lectern.functions.text import CODE, PANDOC_CITE, contract_numbers
+from lectern.operators.citations import cited, numbering
+
+#: Fields that may name the containing work, and the publisher, the first one there counts.
+VENUES = ["journal", "journaltitle", "booktitle"]
+PUBLISHERS = ["school", "institution", "publisher", "organization"]
+#: A bracket of nothing but citekeys.
+GROUP = r"\[\s*-?@[A-Za-z][A-Za-z0-9_-]*(?:\s*;\s*-?@[A-Za-z][A-Za-z0-9_-]*)*\s*\]"
+
+
+def initials(given: Column) -> Column:
+    """``Jane Mary`` as ``J. M.``, ``Jean-Paul`` as ``J.-P.``"""
+    words = F.filter(F.split(F.translate(given, ".", " "), r"\s+"), lambda w: w != "")
+    halves = lambda w: F.transform(F.filter(F.split(w, "-"), lambda h: h != ""), lambda h: F.concat(F.substring(h, 1, 1), F.lit(".")))
+    return F.array_join(F.transform(words, lambda w: F.array_join(halves(w), "-")), " ")
+
+
+def ieee_name(name: Column) -> Column:
+    """``Doe, Jane`` or ``Jane Doe`` as ``J. Doe``; a braced name is kept whole."""
+    name = F.trim(name)
+    comma = F.split(name, r"\s*,\s*", 2)
+    given = F.when(name.contains(","), F.get(comma, F.lit(1))).when(name.contains(" "), F.regexp_extract(name, r"^(.*) ", 1)).otherwise("")
+    family = F.when(name.contains(","), F.get(comma, F.lit(0))).otherwise(F.substring_index(name, " ", -1))
+    return F.when(name.rlike(r"(?s)^\{.*\}$"), F.trim(F.regexp_replace(name, r"^\{|\}$", ""))).otherwise(F.trim(F.concat_ws(" ", F.nullif(initials(given), F.lit("")), family)))
+
+
+def ieee_authors(field: Column) -> Column:
+    """All names, ``and`` before the last; beyond six the first one and ``et al.``"""
+    names = F.filter(F.transform(F.split(F.coalesce(field, F.lit("")), " and "), lambda n: F.trim(n)), lambda n: n != "")
+    done = F.transform(names, ieee_name)
+    n = F.size(done)
+    last = F.element_at(done, -1)
+    listed = F.concat(F.array_join(F.slice(done, 1, F.greatest(n - 1, F.lit(0))), ", "), F.when(n > 2, ", and ").otherwise(" and "), last)
+    return F.when(n == 0, "").when(n > 6, F.concat(F.get(done, F.lit(0)), F.lit(" et al."))).when(n == 1, last).otherwise(listed)
+
+
+def escape_markdown(text: Column) -> Column:
+    return F.regexp_replace(text, r"([*_`\[\]])", r"\\$1")
+
+
+def entry(citekey: Column, title: Column, year: Column, fields: Column) -> Column:
+    """One reference, without its number. ``fields``: a map of field names in lower case."""
+
+    def of(name: str) -> Column:
+        return F.coalesce(F.trim(F.get(F.map_values(F.map_filter(fields, lambda k, v: k == name)), F.lit(0))), F.lit(""))
+
+    def part(prefix: str, value: Column) -> Column:
+        return F.when(value != "", F.concat(F.lit(prefix), escape_markdown(value)))
+
+    venue = F.coalesce(*(F.nullif(of(v), F.lit("")) for v in VENUES), F.lit(""))
+    authors, editors = ieee_authors(of("author")), ieee_authors(of("editor"))
+    who = F.when(authors != "", authors).when(editors != "", F.concat(editors, F.lit(", Eds."))).otherwise("")
+    name = escape_markdown(F.regexp_replace(F.trim(F.coalesce(title, F.lit(""))), r"\.+$", ""))
+    named = F.when(name == "", None).when(venue != "", F.concat(F.lit('"'), name, F.lit(',"'))).otherwise(F.concat(F.lit("*"), name, F.lit("*")))
+    inside = F.when((of("booktitle") != "") & (of("journal") == ""), "in ").otherwise("")
+    pages = F.regexp_replace(of("pages"), "-{2,}", "–")
+    label = F.when(F.regexp_like(pages, F.lit("[–,]")), "pp. ").otherwise("p. ")
+    publisher = F.coalesce(*(F.nullif(of(p), F.lit("")) for p in PUBLISHERS))
+    parts = F.array(
+        F.nullif(escape_markdown(who), F.lit("")),
+        named,
+        F.when(venue != "", F.concat(inside, F.lit("*"), escape_markdown(venue), F.lit("*"))),
+        part("vol. ", of("volume")),
+        part("no. ", of("number")),
+        F.when(pages != "", F.concat(label, escape_markdown(pages))),
+        escape_markdown(publisher),
+        F.nullif(escape_markdown(F.trim(F.coalesce(year, F.lit("")))), F.lit("")),
+    )
+    # a quoted title carries its comma inside the quotes
+    joined = F.aggregate(F.array_compact(parts), F.lit(""), lambda a, p: F.when(a == "", p).when(a.endswith(',"'), F.concat(a, F.lit(" "), p)).otherwise(F.concat(a, F.lit(", "), p)))
+    return F.when(joined == "", F.concat(citekey, F.lit("."))).when(joined.endswith("."), joined).otherwise(F.concat(joined, F.lit(".")))
+
+
+def reference_list(drafts: DataFrame, items: DataFrame) -> DataFrame:
+    """draft_id, number, citekey and entry (null: the ledger lacks the key) of each cited key.
+
+    ``items``: citekey, title, year, fields. ``unlisted`` says which drafts can't be given a section.
+    """
+    rows = numbering(cited(drafts)).join(items, "citekey", "left")
+    known = F.col("fields").isNotNull()
+    return rows.select("draft_id", "number", "citekey", F.when(known, entry(F.col("citekey"), F.col("title"), F.col("year"), F.col("fields"))).alias("entry"))
+
+
+def unlisted(references: DataFrame) -> DataFrame:
+    """draft_id and the missing citekeys, in order of citation, of drafts that cite what the ledger lacks."""
+    rows = references.where("entry is null").groupBy("draft_id").agg(F.array_sort(F.collect_list(F.struct("number", "citekey"))).alias("m"))
+    return rows.select("draft_id", F.array_join(F.transform("m", lambda x: x["citekey"]), ", ").alias("missing"))
+
+
+def sections(references: DataFrame, heading: str = "References", label: bool = True) -> DataFrame:
+    """draft_id and section: the text of each draft's reference section; drafts with a missing key have none."""
+    line = F.concat(F.lit("["), F.col("number").cast("string"), F.lit("] "), F.col("entry"), F.concat(F.lit(" `"), F.col("citekey"), F.lit("`")) if label else F.lit(""))
+    rows = references.groupBy("draft_id").agg(F.array_sort(F.collect_list(F.struct("number", line.alias("line")))).alias("all"), F.count_if(F.col("entry").isNull()).alias("gaps"))
+    text = F.concat(F.lit(f"## {heading}\n\n"), F.array_join(F.transform("all", lambda x: x["line"]), "\n\n"), F.lit("\n"))
+    return rows.where("gaps = 0").select("draft_id", text.alias("section"))
+
+
+def with_section(drafts: DataFrame, built: DataFrame, at: DataFrame) -> DataFrame:
+    """draft_id and text with the section in place of an old one, or after all; drafts without one stay as they are.
+
+    ``at``: draft_id and the line of the old heading.
+    """
+    rows = drafts.join(built, "draft_id", "left").join(at, "draft_id", "left")
+    kept = F.array_join(F.slice(F.split("text", "\n", -1), F.lit(1), F.coalesce(F.col("line") - 1, F.lit(1 << 30))), "\n")
+    new = F.concat(F.regexp_replace(kept, r"\s+$", ""), F.lit("\n\n"), F.regexp_replace("section", r"\s+$", ""), F.lit("\n"))
+    return rows.select("draft_id", F.when(F.col("section").isNull(), F.col("text")).otherwise(new).alias("text"))
+
+
+def _blanked(text: str) -> str:
+    for pattern in CODE:
+        text = re.sub(pattern, lambda m: re.sub(r"[^\n]", " ", m[0]), text)
+    return text
+
+
+def renumbered_text(text: str, numbers: dict[str, int]) -> str:
+    """Markers as numbers: whole brackets first, then single keys; code and brackets with an unknown key stay."""
+    plain, edits, taken = _blanked(text), [], []
+    for m in re.finditer(GROUP, plain):
+        keys = re.findall(PANDOC_CITE, m[0])
+        taken.append(m.span())
+        if all(k in numbers for k in keys):
+            edits.append((*m.span(), _contracted([numbers[k] for k in keys])))
+    for m in re.finditer(PANDOC_CITE, plain):
+        if m[1] in numbers and not any(a <= m.start() < b for a, b in taken):
+            edits.append((*m.span(), f"[{numbers[m[1]]}]"))
+    for a, b, new in sorted(edits, reverse=True):
+        text = text[:a] + new + text[b:]
+    return text
+
+
+def _contracted(numbers: list[int]) -> str:
+    out, left = [], sorted(set(numbers))
+    while left:
+        run = [n for k, n in enumerate(left) if n == left[0] + k]
+        out += [f"[{run[0]}]–[{run[-1]}]"] if len(run) > 2 else [f"[{n}]" for n in run]
+        left = left[len(run) :]
+    return ", ".join(out)
+
+
+def renumber(drafts: DataFrame) -> DataFrame:
+    """draft_id and text with numbers for citekeys, by first appearance."""
+    numbers = numbering(cited(drafts)).groupBy("draft_id").agg(F.collect_list(F.struct("citekey", "number")).alias("numbers"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            maps = [{x["citekey"]: x["number"] for x in n} if n is not None else {} for n in pdf["numbers"]]
+            yield pd.DataFrame({"draft_id": pdf["draft_id"], "text": [renumbered_text(t, m) for t, m in zip(pdf["text"], maps, strict=True)]})
+
+    rows = drafts.select("draft_id", F.coalesce("text", F.lit("")).alias("text")).join(numbers, "draft_id", "left")
+    kind = drafts.schema["draft_id"].dataType.simpleString()
+    return rows.mapInPandas(run, f"draft_id {kind}, text string")
+
+
+__all__ = ["contract_numbers", "entry", "ieee_authors", "ieee_name", "initials", "reference_list", "renumber", "sections", "unlisted", "with_section"]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import CLAIM_STOPWORDS, SEARCH_STOPWORDS, letter_runs, page_count, pages, word_chunks
 from lectern.operators import citations, dossier, ledger, overlap, retrieval, vectors
+from lectern.plans import writing
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -405,3 +406,6 @@ SELECT page_id, count(*) AS refs, count(*) FILTER (WHERE NOT regexp_matches(ref,
 def local_refs(spark: SparkSession, d: str) -> DataFrame:
     rows = _t(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit('(?:src|href)="([^"]*)"'), F.lit(1))).alias("ref"))
     return rows.groupBy("page_id").agg(F.count("*").alias("refs"), F.count_if(~F.col("ref").rlike("^[A-Za-z][A-Za-z0-9+.-]*:")).alias("local"))
+
+QUERIES |= writing.QUERIES
+SQL |= writing.SQL
