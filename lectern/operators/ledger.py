@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import normal_doi, normal_title
@@ -64,3 +64,71 @@ def digest(keys: DataFrame, buckets: int = 4096) -> DataFrame:
     parts = keys.select("citekey").distinct().groupBy(F.substring(F.sha2("citekey", 256), 1, 3).alias("bucket")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("citekey")), "\n"), 256).alias("digest"))
     whole = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "digest"))), lambda x: x["digest"]), "\n"), 256)
     return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.substring(whole, 1, 12).alias("digest"))
+
+
+#: Phrases of a timeout, and of a device without memory, in an error text.
+TIMEOUTS = ["document timeout", "document processing timeout"]
+OUT_OF_MEMORY = ["CUDA out of memory", "CUDA error: out of memory"]
+
+
+def _any_of(text: Column, phrases: list[str]) -> Column:
+    out = F.lit(False)
+    for p in phrases:
+        out = out | text.contains(p)
+    return F.coalesce(out, F.lit(False))
+
+
+def failure_kind(outcomes: DataFrame) -> DataFrame:
+    """``outcomes`` (category, error, worker) with kind and timed_out.
+
+    transient: no memory on a device, or a worker that died or stalled; the rest,
+    timeouts too, would fail again. The error's words count for a timeout only
+    without a category.
+    """
+    passing = F.col("worker").isin("died", "stalled") | _any_of(F.col("error"), OUT_OF_MEMORY)
+    late = F.when(F.col("category").isNotNull(), F.col("category") == "timeout").otherwise(_any_of(F.lower("error"), TIMEOUTS))
+    kind = F.when(F.coalesce(passing, F.lit(False)), "transient").otherwise("deterministic")
+    return outcomes.withColumns({"kind": kind, "timed_out": late})
+
+
+def record_outcomes(items: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """``items`` (citekey, status, parsed_path, error, failure_kind) after a run.
+
+    ``outcomes``: citekey, path, error, kind. A parsed item gets its path and
+    loses its error; a failed one gets error and kind; others stay as they are.
+    """
+    out = outcomes.select("citekey", F.col("path").alias("new_path"), F.col("error").alias("new_error"), F.coalesce("kind", F.lit("deterministic")).alias("new_kind"), F.lit(True).alias("ran"))
+    rows = items.join(out, "citekey", "left")
+    failed, done = F.col("new_error").isNotNull(), F.col("ran").isNotNull()
+    return rows.select(
+        "citekey",
+        F.when(done & failed, "parse_failed").when(done, "parsed").otherwise(F.col("status")).alias("status"),
+        F.when(done & ~failed, F.col("new_path")).otherwise(F.col("parsed_path")).alias("parsed_path"),
+        F.when(done, F.col("new_error")).otherwise(F.col("error")).alias("error"),
+        F.when(done & failed, F.col("new_kind")).when(done, None).otherwise(F.col("failure_kind")).alias("failure_kind"),
+    )
+
+
+def run_summary(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: parsed, failed, unchanged, no_pdf of a run, from the states before and after it."""
+    rows = before.select("citekey", F.col("needs_parse")).join(after.select("citekey", "status"), "citekey")
+    return rows.agg(
+        F.count_if(F.col("needs_parse") & (F.col("status") == "parsed")).alias("parsed"),
+        F.count_if(F.col("needs_parse") & (F.col("status") == "parse_failed")).alias("failed"),
+        F.count_if(~F.col("needs_parse") & (F.col("status") != "no_pdf")).alias("unchanged"),
+        F.count_if(F.col("status") == "no_pdf").alias("no_pdf"),
+    )
+
+
+def by_status(items: DataFrame, status: str | None = None) -> DataFrame:
+    """Items of a status (None: all)."""
+    return items if status is None else items.where(F.col("status") == status)
+
+
+def named(items: DataFrame, keys: list[str]) -> DataFrame:
+    """The items of ``keys``; a missing key is an error that names it."""
+    found = items.where(F.col("citekey").isin(keys))
+    missing = sorted(set(keys) - {r["citekey"] for r in found.select("citekey").distinct().collect()})
+    if missing:
+        raise KeyError(f"not in the ledger: {', '.join(missing)}")
+    return found

@@ -91,3 +91,24 @@ def coverage(candidates: DataFrame, cited: DataFrame) -> DataFrame:
     """Each citekey of either side, and whether it is a candidate and cited."""
     a, b = candidates.select("citekey").distinct().withColumn("candidate", F.lit(True)), cited.select("citekey").distinct().withColumn("cited", F.lit(True))
     return a.join(b, "citekey", "full").select("citekey", F.coalesce("candidate", F.lit(False)).alias("candidate"), F.coalesce("cited", F.lit(False)).alias("cited"))
+
+
+def fingerprints(items: DataFrame) -> DataFrame:
+    """citekey and fingerprint (of title and text) of each item."""
+    return items.select("citekey", F.sha2(F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))), 256).alias("fingerprint"))
+
+
+def index_changes(stored: DataFrame, items: DataFrame) -> DataFrame:
+    """citekey and change (kept, changed, new, gone) between a stored index's fingerprints and the items."""
+    old = stored.select("citekey", F.col("fingerprint").alias("old"))
+    new = fingerprints(items).withColumnRenamed("fingerprint", "new")
+    change = F.when(F.col("new").isNull(), "gone").when(F.col("old").isNull(), "new").when(F.col("old") == F.col("new"), "kept").otherwise("changed")
+    return old.join(new, "citekey", "full").select("citekey", change.alias("change"))
+
+
+def refresh_index(index: DataFrame, stored: DataFrame, items: DataFrame) -> DataFrame:
+    """The index of ``items``: rows of unchanged ones as stored, only new and changed ones tokenised."""
+    changes = index_changes(stored, items)
+    kept = index.join(changes.where("change = 'kept'"), "citekey", "left_semi")
+    again = items.join(changes.where("change in ('new', 'changed')"), "citekey", "left_semi")
+    return kept.unionByName(term_index(again))
