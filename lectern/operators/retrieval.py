@@ -20,11 +20,27 @@ def corpus(docs: DataFrame) -> DataFrame:
     return docs.select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("citekey"), F.substring_index(text, "\n", 1).alias("title"), text.alias("text"))
 
 
-def term_index(items: DataFrame) -> DataFrame:
-    """citekey, length, term, tf. Items without tokens keep one row with a null term, so that they count."""
+def query_terms(queries: DataFrame) -> DataFrame:
+    """query_id and each different term. ``queries``: query_id, query."""
+    return queries.select("query_id", F.explode(F.array_distinct(search_tokens("query"))).alias("term"))
+
+
+def term_index(items: DataFrame, queries: DataFrame | None = None, most_terms: int = 1_000_000) -> DataFrame:
+    """citekey, length, term, tf. Items without tokens keep one row with a null term, so that they count.
+
+    With ``queries`` only their terms are told apart; an item's other tokens are
+    one row with a null term. Up to ``most_terms`` the terms are sent to the
+    texts, so that other tokens go before anything is shuffled. The result is
+    kept, as scores need its lengths and its postings.
+    """
     tokens = items.select("citekey", search_tokens(F.concat_ws("\n", "title", "text")).alias("tokens"))
     rows = tokens.select("citekey", F.size("tokens").alias("length"), F.explode_outer("tokens").alias("term"))
-    return rows.groupBy("citekey", "length", "term").agg(F.count("*").alias("tf"))
+    if queries is None:
+        return rows.groupBy("citekey", "length", "term").agg(F.count("*").alias("tf"))
+    terms = query_terms(queries).select(F.col("term").alias("wanted")).distinct()
+    terms = F.broadcast(terms) if terms.count() <= most_terms else terms
+    rows = rows.join(terms, F.col("term") == F.col("wanted"), "left")
+    return rows.groupBy("citekey", "length", F.col("wanted").alias("term")).agg(F.count("*").alias("tf")).persist()
 
 
 def corpus_stats(index: DataFrame) -> DataFrame:
@@ -41,7 +57,7 @@ def bm25(index: DataFrame, queries: DataFrame) -> DataFrame:
 
     Only postings of query terms are read on; a score that isn't positive is dropped.
     """
-    terms = queries.select("query_id", F.explode(F.array_distinct(search_tokens("query"))).alias("term"))
+    terms = query_terms(queries)
     wanted = index.join(terms.select("term").distinct(), "term", "left_semi")
     n, avgdl = corpus_stats(index).first()
     df = doc_freq(wanted)

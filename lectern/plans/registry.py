@@ -66,14 +66,14 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 
 @_query(f"WITH {_BM25} SELECT query_id, citekey, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 15")
 def bm25_batch_topk(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.top_k(retrieval.bm25(retrieval.term_index(_items(spark, d)), _searches(spark, d)), 15)
+    return retrieval.top_k(retrieval.bm25(retrieval.term_index(_items(spark, d), _searches(spark, d)), _searches(spark, d)), 15)
 
 
 @_query()
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
     """The ten best for each search, with a snippet of the best window."""
     items, searches = _items(spark, d), _searches(spark, d)
-    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(items), searches), 10)
+    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(items, searches), searches), 10)
     return retrieval.snippets(hits, items, searches)
 
 
@@ -81,14 +81,14 @@ def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
 def evidence_windows(spark: SparkSession, d: str) -> DataFrame:
     """Two windows of 600 characters from the best document of each search."""
     items, searches = _items(spark, d), _searches(spark, d)
-    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(items), searches), 1)
+    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(items, searches), searches), 1)
     return retrieval.snippets(hits, items, searches, 600, 2)
 
 
 @_query(f"WITH {_INDEX} SELECT term, df, CAST(cf AS BIGINT) AS cf, round(ln((n - df + 0.5) / (df + 0.5) + 1), 6) AS idf FROM df, stats")
 def doc_freq(spark: SparkSession, d: str) -> DataFrame:
     index = retrieval.term_index(_items(spark, d))
-    n = retrieval.corpus_stats(index).first()["n"]
+    n = _items(spark, d).count()
     return retrieval.doc_freq(index).withColumn("idf", F.round(F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1), 6))
 
 
@@ -249,7 +249,7 @@ x AS (SELECT coalesce(cand.citekey, cit.citekey) AS citekey, cand.citekey IS NOT
 
 
 def _coverage(spark: SparkSession, d: str) -> DataFrame:
-    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(_items(spark, d)), _searches(spark, d)), 5)
+    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(_items(spark, d), _searches(spark, d)), _searches(spark, d)), 5)
     return retrieval.coverage(hits, _t(spark, d, "labels").where("quality = 1").select(_key(F.col("doc_id")).alias("citekey")))
 
 
@@ -326,7 +326,7 @@ def _dossiers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:
-    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(_items(spark, d)), _searches(spark, d)), 15)
+    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(_items(spark, d), _searches(spark, d)), _searches(spark, d)), 15)
     return hits.select(F.concat(F.lit("src"), (F.col("query_id") % 20).cast("string")).alias("dossier"), "query_id", "citekey")
 
 
