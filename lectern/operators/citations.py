@@ -55,3 +55,19 @@ def support(claims: DataFrame, passages: DataFrame) -> DataFrame:
 
 def band(score: str = "score"):
     return F.when(F.col(score) < WEAK, "none").when(F.col(score) < SUPPORTED, "weak").otherwise("supported")
+
+
+def provenance(claims: DataFrame, passages: DataFrame, known: DataFrame) -> DataFrame:
+    """The claims with score, band, passage and note, worst first: (score, line).
+
+    ``claims``: draft_id, line, place, citekey, claim; ``passages``: citekey,
+    ord, text; ``known``: citekey. A key without passages says why in ``note``.
+    """
+    rows = claims.withColumn("claim_id", F.struct("draft_id", "place", "citekey"))
+    scored = support(rows.select("claim_id", "citekey", "claim"), passages)
+    have = passages.select("citekey").distinct().withColumn("readable", F.lit(True))
+    there = known.select("citekey").distinct().withColumn("listed", F.lit(True))
+    out = rows.join(scored, "claim_id").join(have, "citekey", "left").join(there, "citekey", "left")
+    note = F.when(F.col("listed").isNull(), "not in the ledger").when(F.col("readable").isNull(), "no text to read")
+    order = Window.partitionBy("draft_id").orderBy("score", "line", "place")
+    return out.select("draft_id", F.row_number().over(order).alias("rank"), "line", "citekey", "claim", "score", band().alias("band"), "passage", note.alias("note"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import alphanumeric_words
@@ -47,3 +47,26 @@ def locate(phrases: DataFrame, pages: DataFrame, k: int = 4) -> DataFrame:
     hits = there.join(words, "word").groupBy("phrase_id", "page").agg(F.round(F.sum("times") / F.first("n"), 6).alias("score"))
     order = Window.partitionBy("phrase_id").orderBy(F.desc("score"), F.desc("page"))
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def scrub(text: str | Column) -> Column:
+    """Control bytes, but for white space, turned to spaces."""
+    return F.regexp_replace(text, r"[\x00-\x08\x0e-\x1f]", " ")
+
+
+def citing_overlaps(paragraphs: DataFrame, sources: DataFrame, n: int = 8, most: int = 25) -> DataFrame:
+    """The ``most`` longest runs that a draft's citing paragraphs share with the cited source, by (length, page, place), longest first.
+
+    ``paragraphs``: draft_id, citekey, ord, paragraph; ``sources``: citekey,
+    page, text. n-grams meet on (citekey, gram), so only a cited source counts.
+    """
+    keys = ["draft_id", "citekey", "ord"]
+    own = ngrams(paragraphs.select(*keys, F.col("paragraph").alias("text")), keys, n)
+    first = ngrams(sources.select("citekey", "page", scrub("text").alias("text")), ["citekey", "page"], n)
+    first = first.groupBy("citekey", "gram").agg(F.min("page").alias("page"))
+    hits = own.join(first, ["citekey", "gram"])
+    island = F.col("pos") - F.row_number().over(Window.partitionBy(*keys).orderBy("pos"))
+    runs = hits.withColumn("island", island).groupBy(*keys, "island").agg(F.min("pos").alias("start"), F.count("*").alias("k"), F.min_by("page", "pos").alias("page"))
+    runs = runs.select(*keys, "start", (F.col("k") + n - 1).alias("n_words"), "page")
+    order = Window.partitionBy("draft_id").orderBy(F.desc("n_words"), F.desc("page"), F.desc("citekey"), F.desc("ord"), F.desc("start"))
+    return runs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.functions.text import word_chunks
+
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2", block: int = 4096) -> DataFrame:
     """query_id, vec_id, distance, rank of the k nearest vectors of each query (exact).
@@ -53,3 +55,59 @@ def embedding_state(texts: DataFrame, stored: DataFrame) -> DataFrame:
     """citekey, state: keep, replace or new. ``texts``: citekey, text_hash; ``stored``: citekey, stored_hash."""
     rows = texts.join(stored, "citekey", "left")
     return rows.select("citekey", F.when(F.col("stored_hash").isNull(), "new").when(F.col("stored_hash") == F.col("text_hash"), "keep").otherwise("replace").alias("state"))
+
+
+def refresh_chunks(texts: DataFrame, stored: DataFrame, encode, size: int = 200, overlap: int = 40) -> DataFrame:
+    """The chunk store after a refresh: chunks of unchanged texts as stored, those of new and changed ones made again.
+
+    ``texts``: citekey, text; ``stored``: citekey, i, chunk, text_hash, vector;
+    ``encode`` turns chunks into vectors and runs on those made again only.
+    Chunks of texts that are gone are dropped.
+    """
+    hashed = texts.select("citekey", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_hash"))
+    states = embedding_state(hashed, stored.groupBy("citekey").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high")).select("citekey", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise("mixed").alias("stored_hash")))
+    kept = stored.join(states.where("state = 'keep'"), "citekey", "left_semi")
+    again = hashed.join(states.where("state <> 'keep'"), "citekey", "left_semi")
+    made = again.select("citekey", "text_hash", F.explode(word_chunks("text", size, overlap)).alias("c")).select("citekey", "c.i", "c.chunk", "text_hash")
+    return kept.select("citekey", "i", "chunk", "text_hash", "vector").unionByName(made.withColumn("vector", encode(F.col("chunk"))))
+
+
+def hashed_vector(chunk, dimensions: int = 16):
+    """A signed count of hashed words in each of ``dimensions`` places, of length one: a stand-in for a model, without one."""
+    words = F.filter(F.split(F.lower(chunk), r"[^a-z0-9]+"), lambda w: w != "")
+    slots = F.transform(words, lambda w: F.crc32(w.cast("binary")))
+    counts = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda k: F.size(F.filter(slots, lambda s: s % dimensions == k)).cast("double"))
+    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda a, x: a + x * x))
+    return F.transform(counts, lambda x: F.when(norm > 0, x / norm).otherwise(0.0))
+
+
+def topics(vectors: DataFrame, centres: DataFrame, rounds: int = 5) -> DataFrame:
+    """vec_id and topic: k-means from given centres (topic, embedding), ties to the smaller topic.
+
+    Centres are as many as there are topics, and are all that is sent out.
+    """
+    spark = vectors.sparkSession
+    rows = centres.orderBy("topic").collect()
+    names, at = [r["topic"] for r in rows], np.array([r["embedding"] for r in rows], np.float64)
+    kind = centres.schema["topic"].dataType.simpleString()
+
+    def nearest_of(at: np.ndarray):
+        held = spark.sparkContext.broadcast(at)
+
+        def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                x = np.array(pdf["embedding"].tolist(), np.float64)
+                d = np.round((x**2).sum(1)[:, None] + (held.value**2).sum(1) - 2 * x @ held.value.T, 9) if len(x) else np.zeros((0, len(names)))
+                yield pdf[["vec_id"]].assign(topic=[names[k] for k in d.argmin(axis=1)], embedding=pdf["embedding"])
+
+        return vectors.select("vec_id", "embedding").mapInPandas(assign, f"vec_id long, topic {kind}, embedding array<float>")
+
+    for _ in range(rounds - 1):
+        sums = nearest_of(at).select("topic", F.posexplode("embedding").alias("k", "v")).groupBy("topic", "k").agg(F.avg(F.col("v").cast("double")).alias("v"))
+        new = at.copy()
+        for r in sums.collect():  # a number for each topic and dimension
+            new[names.index(r["topic"]), r["k"]] = r["v"]
+        if np.allclose(new, at, atol=1e-12):
+            break
+        at = new
+    return nearest_of(at).select("vec_id", "topic")
