@@ -89,3 +89,14 @@ def test_clashing_columns(spark):
     items = spark.createDataFrame([(1, text)], "item_id long, text string")
     judged = decontaminate.judge(decontaminate.mark(docs.withColumns({"_spans": F.lit("own"), "n_words": F.lit(-1), "_items": F.lit(0)}), items))
     assert {(x["n_words"], x["n_hit"], x["contaminated"], x["spans"]) for x in judged.collect()} == {(40, 40, True, "own")}
+
+
+def test_select_gives_any_boundary():
+    from lectern.llm.token_files import EliasFano, ef_encode
+
+    rng = np.random.default_rng(3)
+    for n, top in ((0, 1), (1, 0), (1, 1 << 50), (63, 64), (65, 100), (1000, 1 << 40), (5000, 5000), (5000, 0)):
+        v = np.sort(rng.integers(0, top + 1, n, dtype=np.uint64))
+        ef = EliasFano(ef_encode(v, int(v[-1]) if n else 0))
+        at = rng.permutation(n)
+        assert ef.select(at).tolist() == v[at].tolist()
