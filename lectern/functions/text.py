@@ -176,3 +176,25 @@ def contract_numbers(numbers: Column) -> Column:
         return F.when(end - a >= 2, F.concat(one, F.lit("–"), two)).when(end > a, F.concat(one, F.lit(", "), two)).otherwise(one)
 
     return F.array_join(F.transform(starts, run), ", ")
+
+
+#: How a caption names what it stands under.
+CAPTION = r"(?i)^\s*(Figure|Fig\.?|Table|Scheme)\s*(\d+(?:\.\d+)*[a-z]?)\b"
+
+
+def figure_citation(caption: Column | str, page: Column | str, citekey: Column | str) -> Column:
+    """How to cite a picture: by the label of its caption, else by its page."""
+    kind, label = (F.regexp_extract(_text(caption), CAPTION, k) for k in (1, 2))
+    at = F.col(page) if isinstance(page, str) else page
+    ref = F.concat(F.lit("[@"), F.col(citekey) if isinstance(citekey, str) else citekey, F.lit("]"))
+    name = F.when(F.lower(kind).startswith("fig"), "Figure").otherwise(F.initcap(kind))
+    labelled = F.concat(name, F.lit(" "), label, F.lit(" of "), ref, F.coalesce(F.concat(F.lit(", p."), at.cast("string")), F.lit("")))
+    placed = F.coalesce(F.concat(F.lit("the figure on p."), at.cast("string"), F.lit(" of "), ref), F.concat(F.lit("an unplaced figure in "), ref))
+    return F.when(label != "", labelled).otherwise(placed)
+
+
+def first_errors(errors: Column | str, most: int = 3) -> Column:
+    """The first different messages of a list, and how many more there are."""
+    different = F.array_distinct(F.col(errors) if isinstance(errors, str) else errors)
+    more = F.size(different) - most
+    return F.concat(F.array_join(F.slice(different, 1, most), "; "), F.when(more > 0, F.concat(F.lit(" (and "), more.cast("string"), F.lit(" more)"))).otherwise(""))

@@ -123,3 +123,12 @@ def brief(asked: DataFrame, blocks: DataFrame) -> DataFrame:
 def drift_flags(recorded: DataFrame, digest: str | Column) -> DataFrame:
     """dossier, n, digest and drifted: whether the corpus has another digest now."""
     return recorded.withColumn("drifted", F.col("digest") != digest)
+
+
+def mentioned(files: list[DataFrame]) -> DataFrame:
+    """The different citekeys in backticks of all files (text)."""
+    out = None
+    for rows in files:
+        own = rows.select(F.explode(key_tokens("text")).alias("citekey"))
+        out = own if out is None else out.unionByName(own)
+    return out.distinct()

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.functions.text import figure_citation, first_errors
 from lectern.operators import dossier, ledger, retrieval, runs
-from lectern.plans.templates import EVIDENCE, REJECTED, SCOPE, SECTIONS, SQL_WORDS, filled, filled_sql
+from lectern.plans.templates import EVIDENCE, REJECTED, SCOPE, SECTIONS, SQL_WORDS, filled, one_of, one_of_sql
 from lectern.sources import bibliography, passages
 
 QUERIES: dict = {}
@@ -300,3 +301,32 @@ SELECT d.source, d.n, round(CASE WHEN d.n < 4 THEN 'inf'::DOUBLE ELSE max(CASE W
 def run_upper_fence(spark: SparkSession, d: str) -> DataFrame:
     """Sizes beyond which a source's documents are outliers."""
     return runs.upper_fence(_docs(spark, d), "source", "n_chars").select("source", "n", F.round("fence", 6).alias("fence"))
+
+
+# --- captions and messages ----------------------------------------------------
+
+CAPTIONS = [["Fig. {id}a: {w}"], ["TABLE 2.{id} shows {w}"], ["scheme 3"], ["About Figure {id}"]]
+
+
+@_query(f"""WITH c AS (SELECT doc_id, {one_of_sql(CAPTIONS)} AS caption, CASE WHEN doc_id % 3 > 0 THEN doc_id % 9 + 1 END AS page FROM documents)
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Figure ' || doc_id || 'a' WHEN 1 THEN 'Table 2.' || doc_id WHEN 2 THEN 'Scheme 3' ELSE CASE WHEN page IS NULL THEN 'an unplaced figure in [@doc_' || doc_id || ']' ELSE 'the figure on p.' || page END END
+  || CASE WHEN doc_id % 4 = 3 AND page IS NULL THEN '' ELSE ' of [@doc_' || doc_id || ']' END || CASE WHEN doc_id % 4 < 3 THEN coalesce(', p.' || page, '') ELSE '' END AS cite FROM c""")
+def figure_citations(spark: SparkSession, d: str) -> DataFrame:
+    page = F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 9 + 1)
+    rows = _docs(spark, d).select("doc_id", one_of(CAPTIONS).alias("caption"), page.alias("page"), F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("citekey"))
+    return rows.select("doc_id", figure_citation("caption", "page", "citekey").alias("cite"))
+
+
+@_query("""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z]+'), lambda x: x <> '')[1:12] AS w FROM documents),
+u AS (SELECT doc_id, list_filter(w, lambda x, i: NOT list_contains(w[1:i - 1], x)) AS u FROM w)
+SELECT doc_id, array_to_string(u[1:3], '; ') || CASE WHEN len(u) > 3 THEN ' (and ' || (len(u) - 3) || ' more)' ELSE '' END AS messages FROM u""")
+def first_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The first three different messages of a list; a text's first twelve words stand for messages."""
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+"), lambda x: x != "")
+    return _docs(spark, d).select("doc_id", first_errors(F.slice(words, 1, 12)).alias("messages"))
+
+
+@_query("""SELECT DISTINCT unnest(['doe_' || doc_id, 'roe-x_' || (doc_id + 1), 'poe:y_1', 'doe_' || doc_id]) AS citekey FROM documents""")
+def mentioned_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys that any file of any dossier names."""
+    return dossier.mentioned([_files(spark, d, lines) for lines in (REJECTED, SECTIONS, EVIDENCE)])
