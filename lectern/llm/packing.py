@@ -42,7 +42,7 @@ def token_pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for rows in text_slices(batch, limit=8 << 20):
+            for rows in text_slices(batch, limit=2 << 20):
                 out = []
                 ids, bounds = encoder(tokenizer).encode_column(rows.column(1))
                 for d, low, high in zip(rows.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

@@ -161,7 +161,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
             return pa.RecordBatch.from_pydict(rows, pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("image", pa.binary())]))
 
         for batch in batches:
-            for rows in text_slices(batch, limit=8 << 20):
+            for rows in text_slices(batch, limit=2 << 20):
                 new, bounds = encoder(tokenizer).encode_column(rows.column(1))
                 for d, a, b in zip(rows.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                     doc_ids.append(d)

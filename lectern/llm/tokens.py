@@ -43,7 +43,7 @@ class PieceEncoder:
     between two of them is an id of its own, at which the ids are cut again.
     """
 
-    def __init__(self, path: str, cache_bytes: int = 340 << 20):
+    def __init__(self, path: str, cache_bytes: int = 220 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
