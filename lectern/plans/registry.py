@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import CLAIM_STOPWORDS, SEARCH_STOPWORDS, letter_runs, page_count, pages, word_chunks
 from lectern.operators import citations, dossier, ledger, overlap, retrieval, vectors
+from lectern.operators.term_index import TermIndex
 from lectern.plans import reports, upkeep, writing
+from lectern.sources.versions import shared_folder, state_of
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -42,6 +44,17 @@ def _searches(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
+def _index(spark: SparkSession, d: str) -> tuple[TermIndex, dict]:
+    """The stored index of all items, and its version: made by the first query that asks, refreshed when the documents' files change."""
+    index = TermIndex(spark, shared_folder(spark, "term-index", d))
+    return index, index.refresh(_items(spark, d), state_of(spark, f"{d}/documents.parquet"))
+
+
+def _ranked(spark: SparkSession, d: str, k: int) -> DataFrame:
+    index, now = _index(spark, d)
+    return index.search(_searches(spark, d), k, now)
+
+
 def _key(x) -> F.Column:
     return F.concat(F.lit("doc_"), x.cast("string"))
 
@@ -66,14 +79,14 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 
 @_query(f"WITH {_BM25} SELECT query_id, citekey, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 15")
 def bm25_batch_topk(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.top_k(retrieval.bm25(retrieval.term_index(_items(spark, d), _searches(spark, d)), _searches(spark, d)), 15)
+    return _ranked(spark, d, 15)
 
 
 @_query()
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
     """The ten best for each search, with a snippet of the best window."""
     items, searches = _items(spark, d), _searches(spark, d)
-    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(items, searches), searches), 10)
+    hits = _ranked(spark, d, 10)
     return retrieval.snippets(hits, items, searches)
 
 
@@ -81,20 +94,20 @@ def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
 def evidence_windows(spark: SparkSession, d: str) -> DataFrame:
     """Two windows of 600 characters from the best document of each search."""
     items, searches = _items(spark, d), _searches(spark, d)
-    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(items, searches), searches), 1)
+    hits = _ranked(spark, d, 1)
     return retrieval.snippets(hits, items, searches, 600, 2)
 
 
 @_query(f"WITH {_INDEX} SELECT term, df, CAST(cf AS BIGINT) AS cf, round(ln((n - df + 0.5) / (df + 0.5) + 1), 6) AS idf FROM df, stats")
 def doc_freq(spark: SparkSession, d: str) -> DataFrame:
-    index = retrieval.term_index(_items(spark, d))
-    n = _items(spark, d).count()
-    return retrieval.doc_freq(index).withColumn("idf", F.round(F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1), 6))
+    index, now = _index(spark, d)
+    return index.terms(now).withColumn("idf", F.round(F.log((now["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1), 6))
 
 
 @_query(f"WITH {_INDEX} SELECT citekey, CAST(len(w) AS INTEGER) AS length, CAST(len(list_distinct(w)) AS BIGINT) AS n_terms FROM toks")
 def doc_lengths(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.term_index(_items(spark, d)).groupBy("citekey", "length").agg(F.count("term").alias("n_terms"))
+    index, now = _index(spark, d)
+    return index.forward(now).groupBy("citekey", "length").agg(F.count("term").alias("n_terms"))
 
 
 @_query(f"WITH {_INDEX} SELECT n, round(avgdl, 6) AS avgdl FROM stats")
@@ -249,7 +262,7 @@ x AS (SELECT coalesce(cand.citekey, cit.citekey) AS citekey, cand.citekey IS NOT
 
 
 def _coverage(spark: SparkSession, d: str) -> DataFrame:
-    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(_items(spark, d), _searches(spark, d)), _searches(spark, d)), 5)
+    hits = _ranked(spark, d, 5)
     return retrieval.coverage(hits, _t(spark, d, "labels").where("quality = 1").select(_key(F.col("doc_id")).alias("citekey")))
 
 
@@ -326,7 +339,7 @@ def _dossiers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:
-    hits = retrieval.top_k(retrieval.bm25(retrieval.term_index(_items(spark, d), _searches(spark, d)), _searches(spark, d)), 15)
+    hits = _ranked(spark, d, 15)
     return hits.select(F.concat(F.lit("src"), (F.col("query_id") % 20).cast("string")).alias("dossier"), "query_id", "citekey")
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lectern.sources.versions import Versions
+
 
 def stat(spark: SparkSession, path: str) -> DataFrame:
     """path, size and modified of the files at ``path``; no content is read."""
@@ -35,24 +35,17 @@ def aligned(rows: DataFrame, schema: StructType) -> DataFrame:
 
 
 def write_snapshot(rows: DataFrame, path: str) -> None:
-    """Replace the table at ``path``: written beside it, then put in its place, so ``rows`` may read from it."""
-    spark = rows.sparkSession
-    new, old = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
-    rows.write.parquet(new)
-    at = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, old)]
-    files = at[0].getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(at[0]):
-        files.rename(at[0], at[2])
-    files.rename(at[1], at[0])
-    files.delete(at[2], True)
+    """Make ``rows`` the table at ``path``, as a new version: ``rows`` may read from it, and a crash leaves what was there."""
+    table = Versions(rows.sparkSession, path)
+    folder, now = table.folder("snapshot"), table.current()
+    rows.write.parquet(folder)
+    table.commit({"folder": folder}, now["version"] if now else 0)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """The table at ``path`` with the columns of ``schema``; None if there is none, which isn't an empty one."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        return None
-    return aligned(spark.read.parquet(path), schema)
+    """The table at ``path`` with the columns of ``schema``; None if there never was one, which isn't an empty one."""
+    now = Versions(spark, path).current()
+    return aligned(spark.read.parquet(now["folder"]), schema) if now else None
 
 
 def append_log(rows: DataFrame, path: str) -> None:

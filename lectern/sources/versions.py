@@ -104,3 +104,17 @@ class Versions:
                     self._fs.delete(s.getPath(), True)
                     gone.append(name)
         return gone
+
+
+def state_of(spark: SparkSession, path: str) -> str:
+    """A digest of the names, sizes and times of the files at ``path``: another one means that they may have changed."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, todo = [], [at]
+    while todo:
+        for s in files.listStatus(todo.pop()):
+            if s.isDirectory():
+                todo.append(s.getPath())
+            else:
+                found.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return hashlib.sha256(json.dumps(sorted(found)).encode()).hexdigest()

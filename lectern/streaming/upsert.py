@@ -2,41 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
-from lectern.sources.files import read_snapshot, write_snapshot
+from lectern.operators.ledger_table import LedgerTable
 
-LEDGER = StructType([StructField(c, StringType()) for c in ("citekey", "pdf_hash", "status", "error", "failure_kind")])
 
+def keep_ledger(entries: DataFrame, table: LedgerTable, checkpoint: str, name: str = "entries") -> StreamingQuery:
+    """Upsert what the stream has so far (citekey, pdf_hash), batch by batch, each exactly once.
 
-def upserted(items: DataFrame | None, entries: DataFrame) -> DataFrame:
-    """The ledger after ``entries`` (citekey, pdf_hash): new and changed ones are queued, others stay.
-
-    An entry that comes twice in a batch counts with its greatest hash, so a
-    batch that is replayed gives the same ledger.
+    ``name`` stands for the stream in the table's manifest; a stream that starts
+    from a new checkpoint needs another one.
     """
-    new = entries.groupBy("citekey").agg(F.max("pdf_hash").alias("new_hash")).withColumn("came", F.lit(True))
-    if items is None:
-        items = entries.sparkSession.createDataFrame([], LEDGER)
-    rows = items.withColumn("there", F.lit(True)).join(new, "citekey", "full")
-    moved = F.col("came").isNotNull() & (F.col("there").isNull() | ~F.col("pdf_hash").eqNullSafe(F.col("new_hash")))
-    fresh = F.when(F.col("new_hash").isNull(), "no_pdf").otherwise("discovered")
-    return rows.select(
-        "citekey",
-        F.when(moved, F.col("new_hash")).otherwise(F.col("pdf_hash")).alias("pdf_hash"),
-        F.when(moved, fresh).otherwise(F.col("status")).alias("status"),
-        *(F.when(~moved, F.col(c)).alias(c) for c in ("error", "failure_kind")),
-    )
-
-
-def keep_ledger(entries: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Upsert what the stream has so far into the table at ``path``, batch by batch."""
-
-    def merge(batch: DataFrame, _: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        write_snapshot(upserted(read_snapshot(spark, path, LEDGER), batch), path)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        own = LedgerTable(batch.sparkSession, table.versions.path, table.slices)
+        own.upsert(batch.persist(), batch=(name, number))
+        batch.unpersist()
 
     return entries.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,9 +1,10 @@
 """Snapshots, logs, listings and the streamed ledger."""
 
+import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lectern.sources import files
-from lectern.streaming import upsert
+from lectern.sources.versions import Versions
 
 
 def test_only_moved_files_are_read_again(spark, tmp_path):
@@ -27,7 +28,16 @@ def test_snapshots_and_added_columns(spark, tmp_path):
     assert one.schema == schema and one.first()["note"] is None
     files.write_snapshot(one.unionByName(spark.createDataFrame([("b", 2, "x")], schema)), path)
     assert files.read_snapshot(spark, path, schema).count() == 2
-    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert Versions(spark, path).numbers() == [1, 2]
+
+
+def test_a_crash_while_a_snapshot_is_written(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), StructType([StructField("citekey", StringType())])
+    files.write_snapshot(spark.createDataFrame([("a",)], schema), path)
+    monkeypatch.setattr(Versions, "commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        files.write_snapshot(spark.createDataFrame([("b",)], schema), path)
+    assert [r["citekey"] for r in files.read_snapshot(spark, path, schema).collect()] == ["a"]
 
 
 def test_log_rows_stay_on_one_line(spark, tmp_path):
@@ -35,23 +45,3 @@ def test_log_rows_stay_on_one_line(spark, tmp_path):
     for k in range(2):
         files.append_log(spark.createDataFrame([(f"q |\n {k} ", k)], "query string, chars int"), path)
     assert sorted(r["query"] for r in spark.read.parquet(path).collect()) == ["q \\| 0", "q \\| 1"]
-
-
-def test_streamed_ledger_is_idempotent(spark, tmp_path):
-    source, ledger = tmp_path / "in", str(tmp_path / "ledger")
-    schema = "citekey string, pdf_hash string"
-
-    def run(k):
-        entries = spark.readStream.schema(schema).json(str(source))
-        upsert.keep_ledger(entries, ledger, str(tmp_path / f"state{k}")).awaitTermination(120)
-        return {r["citekey"]: (r["pdf_hash"], r["status"]) for r in spark.read.parquet(ledger).collect()}
-
-    spark.createDataFrame([("a", "1"), ("b", None), ("a", "1")], schema).coalesce(1).write.json(str(source))
-    assert run(0) == {"a": ("1", "discovered"), "b": (None, "no_pdf")}
-    spark.createDataFrame([("a", "2"), ("c", "3")], schema).coalesce(1).write.mode("append").json(str(source))
-    want = {"a": ("2", "discovered"), "b": (None, "no_pdf"), "c": ("3", "discovered")}
-    assert run(0) == want
-    parsed = spark.read.parquet(ledger).selectExpr("citekey", "pdf_hash", "'parsed' as status", "error", "failure_kind")
-    files.write_snapshot(parsed, ledger)
-    spark.createDataFrame([("a", "2")], schema).coalesce(1).write.mode("append").json(str(source))
-    assert run(0) == {k: (h, "parsed") for k, (h, _) in want.items()}
