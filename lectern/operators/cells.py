@@ -80,7 +80,7 @@ def met(stored: DataFrame, asking: DataFrame, answer, schema: str, cell_rows: in
     ways = F.broadcast(ways)
     left = stored.join(ways, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("ways"))).drop("ways")
     right = asking.join(ways, "cell").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1))).drop("ways")
-    both = left.withColumn("asks", F.lit(False)).unionByName(right.withColumn("asks", F.lit(True)))
+    both = left.withColumn("asks", F.lit(False)).unionByName(right.withColumn("asks", F.lit(True)), allowMissingColumns=True)
     both = both.repartition("cell", "part").sortWithinPartitions("cell", "part", "asks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

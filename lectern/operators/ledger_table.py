@@ -1,23 +1,16 @@
-"""The ledger as a versioned table: one upsert rule for batches and streams, commits that a crash can't tear.
-
-Rows lie in slices by hash of the citekey. A change reads and writes only the
-slices that its keys fall in; the new version's manifest takes the other slices'
-folders over (``sources/versions.py``). A stream's batch number is committed with
-its rows, so a batch that is replayed after a crash changes nothing.
-"""
+"""The ledger as a sliced table (``sources/sliced.py``): one upsert rule for batches and streams, and whole runs."""
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators import ledger
 from lectern.sources.counters import Counters
-from lectern.sources.versions import CommitConflict, Versions
+from lectern.sources.sliced import SlicedTable
 
 ROWS = "citekey string, pdf_hash string, status string, parsed_path string, error string, failure_kind string"
 
@@ -42,61 +35,11 @@ def recorded(items: DataFrame, outcomes: DataFrame) -> DataFrame:
     return ledger.record_outcomes(items, outcomes).join(items.select("citekey", "pdf_hash"), "citekey").select("citekey", "pdf_hash", "status", "parsed_path", "error", "failure_kind")
 
 
-class LedgerTable:
-    def __init__(self, spark: SparkSession, path: str, slices: int = 64, tries: int = 5):
-        self.spark, self.versions, self.tries = spark, Versions(spark, path), tries
-        self._slices = slices
-
-    @property
-    def slices(self) -> int:
-        """As many as the table was made with, whoever made it."""
-        now = self.versions.current()
-        return now["count"] if now else self._slices
-
-    def _rows(self, folders: list[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], ROWS)
-        return reduce(DataFrame.unionByName, [self.spark.read.schema(ROWS).parquet(f) for f in folders])
-
-    def read(self) -> DataFrame | None:
-        """All rows; None if nothing was ever committed, which isn't an empty ledger."""
-        now = self.versions.current()
-        return self._rows(sorted(now["slices"].values())) if now else None
-
-    def rows(self) -> DataFrame:
-        held = self.read()
-        return self._rows([]) if held is None else held
-
-    def change(self, keys: DataFrame | None, rule: Callable[[DataFrame], DataFrame], batch: tuple[str, int] | None = None) -> int:
-        """Commit ``rule(rows)`` for the slices of ``keys`` (citekey; None: all) and return the version.
-
-        ``batch`` names a stream and the number of its batch; one that was
-        committed before is left alone. If another writer was faster, the rule
-        is applied to what it left.
-        """
-        for _ in range(self.tries):
-            now = self.versions.current() or {"slices": {}, "batches": {}, "count": self._slices, "version": 0}
-            if batch and now["batches"].get(batch[0], -1) >= batch[1]:
-                return now["version"]
-            slice_ = F.pmod(F.xxhash64("citekey"), F.lit(now["count"])).cast("int")
-            own = list(map(str, range(now["count"])))
-            if keys is not None:
-                own = sorted(str(r[0]) for r in keys.where("citekey is not null").select(slice_).distinct().collect())  # at most all slices
-            old = self._rows(sorted(now["slices"][s] for s in own if s in now["slices"]))
-            folder = self.versions.folder("rows")
-            rule(old).select("citekey", "pdf_hash", "status", "parsed_path", "error", "failure_kind").withColumn("slice", slice_).repartition("slice").write.partitionBy("slice").parquet(folder)
-            written = {r["slice"] for r in self.spark.read.parquet(folder).select("slice").distinct().collect()} if self._any(folder) else set()
-            kept = {s: f for s, f in now["slices"].items() if s not in own}
-            new = {"count": now["count"], "slices": kept | {str(s): f"{folder}/slice={s}" for s in sorted(written)}, "batches": now["batches"] | ({batch[0]: batch[1]} if batch else {})}
-            try:
-                return self.versions.commit(new, now["version"])
-            except CommitConflict:
-                continue
-        raise CommitConflict(f"the ledger changed {self.tries} times meanwhile")
-
-    def _any(self, folder: str) -> bool:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        return any(s.isDirectory() for s in at.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(at))
+class LedgerTable(SlicedTable):
+    """The ledger as a table of ``ROWS``."""
+
+    def __init__(self, spark: SparkSession, path: str, slices: int = 64):
+        super().__init__(spark, path, ROWS, "citekey", slices)
 
     def upsert(self, entries: DataFrame, present: DataFrame | None = None, force: bool = False, batch: tuple[str, int] | None = None) -> int:
         return self.change(entries.select("citekey"), lambda rows: upserted(rows, entries, present, force), batch)

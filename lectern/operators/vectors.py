@@ -3,52 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import word_chunks
+from lectern.operators.cells import NEAREST, best, matrix, met, squared
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2", block: int = 4096) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2", cell_rows: int = 20_000) -> DataFrame:
     """query_id, vec_id, distance, rank of the k nearest vectors of each query (exact).
 
-    ``vectors`` and ``queries``: vec_id, embedding. Queries are sent out in
-    blocks of ``block``; each task keeps its k best a query, and those are
-    merged, so no pair is shuffled. ``metric``: l2 (squared) or cosine.
+    ``vectors`` and ``queries``: vec_id, embedding; nulls are left out. Vectors are
+    dealt to parts of ``cell_rows``, and queries stream past each part, which
+    keeps its k best of each; those are merged, so no pair is shuffled. ``metric``:
+    l2 (squared) or cosine.
     """
-    spark, count = vectors.sparkSession, queries.count()
-    parts = []
-    for b in range(max(1, -(-count // block))):
-        chosen = queries if count <= block else queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(-(-count // block))) == b)
-        rows = chosen.toPandas()
-        held = spark.sparkContext.broadcast((rows["vec_id"].to_numpy(), np.array(rows["embedding"].tolist(), np.float64).reshape(len(rows), -1)))
-
-        def search(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            ids, q = held.value
-            best: pd.DataFrame | None = None
-            for pdf in batches:
-                x = np.array(pdf["embedding"].tolist(), np.float64)
-                if not len(x) or not len(ids):
-                    continue
-                if metric == "cosine":
-                    d = 1 - (q @ x.T) / np.maximum(np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1), 1e-300)
-                else:
-                    d = np.maximum((q**2).sum(1)[:, None] + (x**2).sum(1) - 2 * q @ x.T, 0)
-                d = np.round(d, 6)
-                take = np.lexsort((np.broadcast_to(pdf["vec_id"].to_numpy(), d.shape), d), axis=1)[:, :k]
-                new = pd.DataFrame({"query_id": np.repeat(ids, take.shape[1]), "vec_id": pdf["vec_id"].to_numpy()[take].ravel(), "distance": np.take_along_axis(d, take, 1).ravel()})
-                best = new if best is None else pd.concat([best, new])
-                best = best.sort_values(["query_id", "distance", "vec_id"]).groupby("query_id").head(k)
-            if best is not None:
-                yield best
-
-        parts.append(vectors.select("vec_id", "embedding").mapInPandas(search, "query_id long, vec_id long, distance double"))
-    order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    return reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    def answer(stored: pa.RecordBatch, asking: pa.RecordBatch) -> pa.RecordBatch:
+        x, q = matrix(stored.column("embedding")), matrix(asking.column("embedding"))
+        if metric == "cosine":
+            d = 1 - (q @ x.T) / np.maximum(np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1), 1e-300)
+        else:
+            d = squared(q, x)
+        d = np.round(d, 6)
+        # all that are no farther than the k-th nearest, so that ties go by number
+        far = np.partition(d, k - 1, axis=1)[:, k - 1] if k <= d.shape[1] else np.full(len(d), np.inf)
+        rows, cols = np.nonzero(d <= far[:, None])
+        return pa.RecordBatch.from_arrays([asking.column("vec_id").take(pa.array(rows)), stored.column("vec_id").take(pa.array(cols)), pa.array(d[rows, cols])], names=["query_id", "vec_id", "distance"])
+
+    one = [v.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.lit(0).alias("cell")) for v in (vectors, queries)]
+    return best(met(*one, answer, NEAREST, cell_rows), k)
 
 
 def embedding_state(texts: DataFrame, stored: DataFrame) -> DataFrame:
