@@ -21,12 +21,24 @@ def gate(mentions: DataFrame, known: DataFrame) -> DataFrame:
     return mentions.join(known.select("citekey"), "citekey", "left_anti")
 
 
-def gate_summary(mentions: DataFrame, known: DataFrame) -> DataFrame:
+def gate_summary(mentions: DataFrame, known: DataFrame, drafts: DataFrame | None = None) -> DataFrame:
+    """draft_id, total, unknown, ok. With ``drafts`` (draft_id) those that cite nothing are there too, and are ok."""
     marked = mentions.join(known.select("citekey").distinct().withColumn("known", F.lit(True)), "citekey", "left")
     out = marked.groupBy("draft_id").agg(F.count("*").alias("total"), F.count_if(F.col("known").isNull()).alias("unknown"))
+    if drafts is not None:
+        zero = F.lit(0).cast("long")
+        out = drafts.select("draft_id").distinct().join(out, "draft_id", "left").select("draft_id", F.coalesce("total", zero).alias("total"), F.coalesce("unknown", zero).alias("unknown"))
     return out.withColumn("ok", F.col("unknown") == 0)
 
 
+def verdict(mentions: DataFrame, known: DataFrame, drafts: DataFrame) -> DataFrame:
+    """One row for all drafts: drafts, citations, unknown, failing (drafts) and passes (whether none is unknown)."""
+    rows = gate_summary(mentions, known, drafts)
+    zero = F.lit(0).cast("long")
+    out = rows.agg(F.count("*").alias("drafts"), F.coalesce(F.sum("total"), zero).alias("citations"), F.coalesce(F.sum("unknown"), zero).alias("unknown"), F.count_if(~F.col("ok")).alias("failing"))
+    return out.withColumn("passes", F.col("unknown") == 0)
+
+
 def numbering(mentions: DataFrame) -> DataFrame:
     """Number of each citekey of a draft by first appearance."""
     first = mentions.groupBy("draft_id", "citekey").agg(F.min(F.struct("offset", "place")).alias("at"))

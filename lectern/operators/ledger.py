@@ -125,10 +125,20 @@ def by_status(items: DataFrame, status: str | None = None) -> DataFrame:
     return items if status is None else items.where(F.col("status") == status)
 
 
+def all_there(rows: DataFrame, asked: DataFrame, known: DataFrame, what: str = "not in the ledger") -> DataFrame:
+    """``rows``, if ``known`` has every citekey of ``asked``; else the plan fails when it runs, and names up to 50 that it lacks.
+
+    The check is a branch of the plan that gives no rows; nothing is collected beforehand.
+    """
+    lost = asked.select("citekey").where("citekey is not null").distinct().join(known.select("citekey"), "citekey", "left_anti")
+    bad = lost.withColumn("h", F.xxhash64("citekey") % 1024).groupBy("h").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set("citekey")), 1, 50).alias("some"))
+    bad = bad.agg(F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("some"))), 1, 50).alias("some")).where("n > 0")
+    said = F.concat(F.lit(f"{what}: "), F.array_join("some", ", "), F.when(F.col("n") > 50, F.concat(F.lit(" and "), (F.col("n") - 50).cast("string"), F.lit(" more"))).otherwise(""))
+    fails = bad.select(F.raise_error(said).alias("e")).where("e is null")
+    return rows.unionByName(fails.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema)))
+
+
 def named(items: DataFrame, keys: list[str]) -> DataFrame:
-    """The items of ``keys``; a missing key is an error that names it."""
+    """The items of ``keys``; missing keys are an error that names them, raised by the plan."""
     found = items.where(F.col("citekey").isin(keys))
-    missing = sorted(set(keys) - {r["citekey"] for r in found.select("citekey").distinct().collect()})
-    if missing:
-        raise KeyError(f"not in the ledger: {', '.join(missing)}")
-    return found
+    return all_there(found, items.sparkSession.createDataFrame([(k,) for k in keys], "citekey string"), found)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import search_tokens
+from lectern.operators.ledger import all_there
 
 K1, B = 1.5, 0.75
 
@@ -103,6 +104,23 @@ def snippets(hits: DataFrame, items: DataFrame, queries: DataFrame, width: int =
     return rows.select(*names, "text", "terms").mapInPandas(run, schema)
 
 
+def evidence(items: DataFrame, asked: DataFrame, width: int = 600, count: int = 2) -> DataFrame:
+    """query_id, citekey, windows (array): the windows of one item that bear on a query. ``asked``: query_id, citekey, query.
+
+    A citekey that ``items`` (citekey, title, text) lacks fails the plan, also if
+    its query has no terms; a query without terms, or an item without text, has
+    no windows.
+    """
+    rows = asked.join(items, "citekey").select("query_id", "citekey", F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))).alias("text"), search_tokens("query").alias("terms"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[["query_id", "citekey"]].assign(windows=[best_windows(t, list(q), width, count) if len(q) else [] for t, q in zip(pdf["text"], pdf["terms"], strict=True)])
+
+    kind = asked.schema["query_id"].dataType.simpleString()
+    return all_there(rows.mapInPandas(run, f"query_id {kind}, citekey string, windows array<string>"), asked, items)
+
+
 def coverage(candidates: DataFrame, cited: DataFrame) -> DataFrame:
     """Each citekey of either side, and whether it is a candidate and cited."""
     a, b = candidates.select("citekey").distinct().withColumn("candidate", F.lit(True)), cited.select("citekey").distinct().withColumn("cited", F.lit(True))

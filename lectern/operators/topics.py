@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators.cells import NEAREST, best, dealt, fit_cells, matrix, met, nearest_rows, squared
@@ -97,7 +97,7 @@ def joining_edges(tree: DataFrame, size: int) -> DataFrame:
     """node, edge: the tree edge (w, a, b) at which the node's component reaches ``size`` nodes."""
     both = tree.select(F.col("a").alias("node"), F.struct("w", "a", "b", F.col("b").alias("to")).alias("e")).unionByName(tree.select(F.col("b").alias("node"), F.struct("w", "a", "b", F.col("a").alias("to")).alias("e")))
     # a node's ``size`` least edges suffice: whoever comes to it over a heavier one has met enough nodes before
-    ranked = both.withColumn("k", F.row_number().over(_by_node())).where(F.col("k") <= size)
+    ranked = both.withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy("e"))).where(F.col("k") <= size)
     near = kept(ranked.groupBy("node").agg(F.array_sort(F.collect_list("e")).alias("edges")), "near")
     state = near.select("node", F.array("node").alias("seen"), F.col("edges").alias("reach"), F.lit(None).cast("struct<w:double,a:bigint,b:bigint>").alias("edge"))
     for step in range(size - 1):
@@ -115,12 +115,6 @@ def joining_edges(tree: DataFrame, size: int) -> DataFrame:
     return kept(state.select("node", "edge"), "joining")
 
 
-def _by_node():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("node").orderBy("e")
-
-
 class SplitTree:
     """The tree of clusters that splits make: leaves first, then one cluster a split, lightest first."""
 
@@ -233,3 +227,22 @@ def density_topics(vectors: DataFrame, min_size: int | None = None, neighbours:
     order = named.where("chosen is not null").groupBy("chosen").agg(F.count("*").alias("n"), F.min("vec_id").alias("first")).orderBy(F.desc("n"), "first").collect()
     topic = vectors.sparkSession.createDataFrame([(r["chosen"], k) for k, r in enumerate(order)], "chosen long, topic int")
     return named.join(topic, "chosen", "left").select("vec_id", F.coalesce("topic", F.lit(-1)).alias("topic"))
+
+
+def topic_names(terms: DataFrame, words: int = 4) -> DataFrame:
+    """topic, count and name of each topic. ``terms``: topic, doc, term, tf (a null term: a document without words).
+
+    A term weighs its share of the topic's words times ln(1 + the mean number of
+    words a topic / its number in all topics); the name holds the topic's number
+    and its heaviest terms, ties by term. Counts are summed by (topic, term)
+    before anything is ranked.
+    """
+    sizes = terms.groupBy("topic").agg(F.countDistinct("doc").alias("count"), F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))
+    by_term = terms.where("term is not null").groupBy("topic", "term").agg(F.sum("tf").alias("tf"))
+    overall = by_term.groupBy("term").agg(F.sum("tf").alias("all"))
+    mean = sizes.agg(F.avg("words")).first()[0] or 0.0
+    rows = by_term.join(overall, "term").join(sizes, "topic")
+    rows = rows.withColumn("weight", F.round(F.col("tf") / F.col("words") * F.log(1 + F.lit(mean) / F.col("all")), 9))
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("weight"), "term"))).where(F.col("rank") <= words)
+    top = ranked.groupBy("topic").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda x: x["term"]), "_").alias("top"))
+    return sizes.join(top, "topic", "left").select("topic", "count", F.concat_ws("_", F.col("topic").cast("string"), "top").alias("name"))

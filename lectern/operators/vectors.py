@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import word_chunks
@@ -57,16 +59,26 @@ def refresh_chunks(texts: DataFrame, stored: DataFrame, encode, size: int = 200,
     kept = stored.join(states.where("state = 'keep'"), "citekey", "left_semi")
     again = hashed.join(states.where("state <> 'keep'"), "citekey", "left_semi")
     made = again.select("citekey", "text_hash", F.explode(word_chunks("text", size, overlap)).alias("c")).select("citekey", "c.i", "c.chunk", "text_hash")
-    return kept.select("citekey", "i", "chunk", "text_hash", "vector").unionByName(made.withColumn("vector", encode(F.col("chunk"))))
+    return kept.select("citekey", "i", "chunk", "text_hash", "vector").unionByName(made.withColumn("vector", encode(F.col("chunk")).cast("array<double>")))
 
 
-def hashed_vector(chunk, dimensions: int = 16):
-    """A signed count of hashed words in each of ``dimensions`` places, of length one: a stand-in for a model, without one."""
-    words = F.filter(F.split(F.lower(chunk), r"[^a-z0-9]+"), lambda w: w != "")
-    slots = F.transform(words, lambda w: F.crc32(w.cast("binary")))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda k: F.size(F.filter(slots, lambda s: s % dimensions == k)).cast("double"))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(counts, lambda x: F.when(norm > 0, x / norm).otherwise(0.0))
+def hashed_vector(chunk: Column | str, dimensions: int = 16) -> Column:
+    """Feature hashing, of length one: each word adds or takes one (by a bit of its CRC-32) at the place the rest of it names.
+
+    An encoder without a model, in Arrow batches; another one fits wherever this does.
+    """
+
+    @F.pandas_udf("array<float>")
+    def encode(texts: pd.Series) -> pd.Series:
+        words = [re.findall("[a-z0-9]+", (t or "").lower()) for t in texts]
+        rows = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        h = np.fromiter((zlib.crc32(x.encode()) for w in words for x in w), np.int64, len(rows))
+        out = np.zeros((len(words), dimensions))
+        np.add.at(out, (rows, (h >> 1) % dimensions), 1 - 2 * (h & 1))
+        norm = np.linalg.norm(out, axis=1)
+        return pd.Series(list((out / np.where(norm > 0, norm, 1)[:, None]).astype(np.float32)))
+
+    return encode(chunk)
 
 
 def topics(vectors: DataFrame, centres: DataFrame, rounds: int = 5) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lectern.functions.text import CLAIM_STOPWORDS, SEARCH_STOPWORDS, letter_runs, page_count, pages, word_chunks
 from lectern.operators import citations, dossier, ledger, overlap, retrieval, vectors
 from lectern.operators.term_index import TermIndex
-from lectern.plans import reports, upkeep, writing
+from lectern.plans import corpus, reports, upkeep, writing
 from lectern.sources.versions import shared_folder, state_of
 
 QUERIES: dict = {}
@@ -420,5 +420,5 @@ def local_refs(spark: SparkSession, d: str) -> DataFrame:
     rows = _t(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit('(?:src|href)="([^"]*)"'), F.lit(1))).alias("ref"))
     return rows.groupBy("page_id").agg(F.count("*").alias("refs"), F.count_if(~F.col("ref").rlike("^[A-Za-z][A-Za-z0-9+.-]*:")).alias("local"))
 
-QUERIES |= writing.QUERIES | upkeep.QUERIES | reports.QUERIES
-SQL |= writing.SQL | upkeep.SQL | reports.SQL
+QUERIES |= writing.QUERIES | upkeep.QUERIES | reports.QUERIES | corpus.QUERIES
+SQL |= writing.SQL | upkeep.SQL | reports.SQL | corpus.SQL
