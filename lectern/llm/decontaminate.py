@@ -205,7 +205,7 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, share_of: int = 20) -> DataFrame:
     """``docs`` judged, with clean_text: the text of contaminated documents less its hit spans."""
-    judged = judge(mark(docs, items, window), share_of)
+    judged = judge(mark(docs.drop("clean_text"), items, window), share_of)
     schema = T.StructType([*judged.schema.fields, T.StructField("clean_text", T.StringType())])
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,8 @@ import random
 import re
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from lectern.llm import registry
 
 SMALL = "/root/testdata/sf0.001"
@@ -63,3 +65,27 @@ def test_stages_on_an_empty_table(spark):
         out = stage(spark, empty, SMALL)
         assert out.count() == 0, name
         assert name == "packing" or out.columns == empty.columns, name
+
+
+def test_columns_survive_whatever_their_names(spark):
+    """Names that the operators use inside, and a stage's own."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(120)
+    names = ["_d", "_k", "_key", "key", "_score", "clean_text", "n_words", "n_hit", "_text", "_spans", "row", "d", "k", "none", "a.b"]
+    odd = docs.select("*", *(F.concat(F.lit(f"{n}:"), "source").alias(n) for n in names)).cache()
+    plain = {name: sorted((r["doc_id"], r["text"]) for r in stage(spark, docs, SMALL).collect()) for name, stage in corpus_pipeline.STAGES[:-1]}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, SMALL)
+        assert out.columns == odd.columns and out.schema["n_chars"].dataType == odd.schema["n_chars"].dataType
+        rows = out.collect()
+        assert sorted((r["doc_id"], r["text"]) for r in rows) == plain[name]
+        assert all(r[n] == f"{n}:{r['source']}" for r in rows for n in names)
+    assert corpus_pipeline.packing(spark, odd, SMALL).columns == corpus_pipeline.packing(spark, docs, SMALL).columns
+
+
+def test_whole_run_is_its_stages_one_by_one(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SMALL)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = corpus_pipeline.run(spark, SMALL).select(columns).collect()
+    assert sorted(got) == sorted(docs.select(columns).collect()) and got
