@@ -90,13 +90,39 @@ def recorded_corpus(files: DataFrame) -> DataFrame:
     return files.select("dossier", n.alias("n"), digest.alias("digest")).where("n <> ''").select("dossier", F.col("n").cast("long").alias("n"), "digest")
 
 
+#: What the files of a dossier hold; a file of another name holds prose.
+FILE_KINDS = {"evidence.md": "blocks", "rejected.md": "rows", "sections.md": "rows", "retrieval.md": "rows"}
+
+
+def line_tallies(files: DataFrame, *by: str) -> DataFrame:
+    """``by`` with blocks, rows (headers of tables too) and prose: how many lines of a file are of each kind, comments left out.
+
+    Lines are told apart one by one, so a long file is only a long list of lines.
+    """
+    bare = F.regexp_replace(F.coalesce("text", F.lit("")), r"(?s)<!--.*?-->", "")
+    lines = files.select(*by, F.explode(F.split(bare, "\n", -1)).alias("t")).withColumn("first", F.substring(F.ltrim("t"), 1, 1))
+    ruler = F.regexp_like("t", F.lit(r"^[|\-: \t]*$"))
+    kinds = {
+        "blocks": F.col("t").startswith("## "),
+        "rows": (F.col("first") == "|") & ~ruler,
+        "prose": F.regexp_like("t", F.lit(r"\S")) & (F.col("first") != "#"),
+    }
+    return lines.groupBy(*by).agg(*(F.count_if(test).alias(name) for name, test in kinds.items()))
+
+
 def entry_counts(files: DataFrame) -> DataFrame:
-    """dossier with blocks, rows (without a header row) and prose lines of a file, comments left out."""
-    lines = F.split(F.regexp_replace("text", r"(?s)<!--.*?-->", ""), "\n", -1)
-    n = lambda f: F.size(F.filter(lines, f)).cast("long")
-    row = n(lambda t: F.ltrim(t).startswith("|") & ~F.regexp_like(t, F.lit(r"^[|\-: \t]*$"))) - 1
-    prose = n(lambda t: F.regexp_like(t, F.lit(r"\S")) & ~F.ltrim(t).startswith("#"))
-    return files.select("dossier", n(lambda t: t.startswith("## ")).alias("blocks"), row.alias("rows"), prose.alias("prose"))
+    """dossier with blocks, rows (without one header; -1 where there is no table) and prose lines of a file."""
+    return line_tallies(files, "dossier").withColumn("rows", F.col("rows") - 1)
+
+
+def file_counts(files: DataFrame) -> DataFrame:
+    """dossier, name, kind and entries of each file (dossier, name, text), counted as its name says."""
+    kind = F.lit("prose")
+    for name, what in FILE_KINDS.items():
+        kind = F.when(F.col("name") == name, what).otherwise(kind)
+    rows = line_tallies(files, "dossier", "name").withColumn("kind", kind)
+    entries = F.when(F.col("kind") == "blocks", F.col("blocks")).when(F.col("kind") == "rows", F.col("rows") - 1).otherwise(F.col("prose"))
+    return rows.select("dossier", "name", "kind", entries.alias("entries"))
 
 
 def normal_section(name: str | Column) -> Column:

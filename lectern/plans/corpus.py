@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.text import page_count, search_tokens
-from lectern.operators import citations, key_sets, retrieval, topics, vectors
+from lectern.operators import citations, dossier, key_sets, retrieval, topics, vectors
 from lectern.operators.ledger_table import ROWS, LedgerTable, sync
 from lectern.operators.vector_store import VectorStore
 from lectern.sources.versions import shared_folder
@@ -167,3 +167,21 @@ def gate_all_drafts(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"WITH {_STRAY} SELECT count(*) AS drafts, CAST(sum(total) AS BIGINT) AS citations, CAST(sum(unknown) AS BIGINT) AS unknown, count(*) FILTER (WHERE unknown > 0) AS failing, sum(unknown) = 0 AS passes FROM g")
 def gate_verdict(spark: SparkSession, d: str) -> DataFrame:
     return citations.verdict(*_mentions(spark, d))
+
+
+# --- dossiers that hold whole texts -------------------------------------------
+
+_OWN_LINES = r"string_split(coalesce(text, ''), chr(10))"
+
+
+@_query(rf"""WITH l AS (SELECT doc_id, {_OWN_LINES} AS l FROM documents)
+SELECT doc_id AS dossier, 'evidence.md' AS name, 'blocks' AS kind, CAST(len(list_filter(l, lambda t: starts_with(t, '## '))) + 1 AS BIGINT) AS entries FROM l
+UNION ALL SELECT doc_id, 'rejected.md', 'rows', len(list_filter(l, lambda t: starts_with(ltrim(t, ' '), '|') AND NOT regexp_full_match(t, '[|\-: \t]*'))) + len(l) FROM l
+UNION ALL SELECT doc_id, 'scope.md', 'prose', len(list_filter(l, lambda t: regexp_matches(t, '\S') AND NOT starts_with(ltrim(t, ' '), '#'))) FROM l""")
+def dossier_file_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Entries of three files a document: evidence that holds its text, a table with a row for each of its lines beside it, a scope that is its text."""
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("dossier"), F.coalesce("text", F.lit("")).alias("text"))
+    table = F.array_join(F.transform(F.split("text", "\n", -1), lambda t: F.concat(F.lit("| `"), F.sha1(t), F.lit("` | x | y |"))), "\n")
+    files = [("evidence.md", F.concat(F.lit("## `a_1`\n<!-- a note\n## not a block -->\n"), F.col("text"))), ("rejected.md", F.concat(F.lit("| key | x | y |\n|---|---|---|\n"), table, F.lit("\n"), F.col("text"))), ("scope.md", F.concat(F.lit("# Scope\n\n"), F.col("text")))]
+    rows = docs.select("dossier", F.explode(F.array(*(F.struct(F.lit(n).alias("name"), t.alias("text")) for n, t in files))).alias("f"))
+    return dossier.file_counts(rows.select("dossier", "f.name", "f.text"))
