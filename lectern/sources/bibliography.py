@@ -1,7 +1,7 @@
 """Bibliography files: entries, those that were dropped, names, attachments.
 
-A file is a row (path, text). Files are split at entry starts, and each entry is
-parsed in its task by a small reader of braces and quotes. An entry whose braces
+A file is a row (path, text), or, if it may be large, read in splits
+(``scan_files``). Files are cut at entry starts, and each entry is parsed in its task by a small reader of braces and quotes. An entry whose braces
 don't close before the next one starts is dropped, and counted.
 """
 
@@ -11,10 +11,12 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import author_names, citekey_problem
+from lectern.operators.graph import kept
 
 #: Blocks that are no entries, and why an entry has no file.
 NOT_ENTRIES = ["comment", "string", "preamble"]
@@ -65,15 +67,107 @@ def read_entry(raw: str) -> tuple[str, str, dict[str, str]] | None:
     return (head[1].lower(), head[3], fields) if rest.startswith(close) else None
 
 
-def entries(files: DataFrame) -> DataFrame:
-    """path, n, item_type, citekey and fields of the entries that can be read (citekey null: it can't)."""
+def parsed(raw: DataFrame) -> DataFrame:
+    """path, n, item_type, citekey and fields of raw entries (path, n, raw); citekey null: it can't be read."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = [read_entry(x) or (None, None, None) for x in pdf["raw"]]
             yield pdf[["path", "n"]].assign(item_type=[x[0] for x in found], citekey=[x[1] for x in found], fields=[x[2] for x in found])
 
-    return raw_entries(files).mapInPandas(run, "path string, n int, item_type string, citekey string, fields map<string,string>")
+    return raw.select("path", "n", "raw").mapInPandas(run, f"path string, n {raw.schema['n'].dataType.simpleString()}, item_type string, citekey string, fields map<string,string>")
+
+
+def entries(files: DataFrame) -> DataFrame:
+    """The entries of files that are rows (path, text)."""
+    return parsed(raw_entries(files))
+
+
+_ENTRY_START = re.compile(r"@\w+\s*[{(]")
+
+
+def scan_files(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
+    """path, n (grows along the file) and raw of the blocks that start like an entry, of files of any size.
+
+    A file is read in splits, as lines; a task keeps the blocks that lie in its
+    split whole, and hands on two pieces of text: what stands before its first
+    entry, and its last entry, which may go on. These pieces alone meet, a few
+    for each split, and an entry that spans several splits is put together.
+    """
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    if split_bytes:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col("value").alias("t"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, seq, open_ = None, [], 0, False
+
+        def piece(whole: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"path": [at[0]], "split": [at[1]], "seq": [seq], "starts": [open_], "whole": [whole], "raw": ["\n".join(held) + "\n"]}, _PIECES)
+
+        for batch in batches:
+            for p, split, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (p, split) != at:
+                    if at and held:
+                        yield piece(False)
+                    at, held, seq, open_ = (p, split), [], 0, False
+                if _ENTRY_START.match(t):
+                    if held:
+                        yield piece(open_)
+                    held, seq, open_ = [], seq + 1, True
+                held.append(t)
+        if at and held:
+            yield piece(False)
+
+    out = lines.mapInArrow(cut, "path string, split long, seq long, starts boolean, whole boolean, raw string")
+    pieces = kept(out, "entries")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    loose = pieces.where("not whole")
+    order = Window.partitionBy("path").orderBy("split", "seq")
+    loose = loose.withColumn("entry", F.sum(F.col("starts").cast("int")).over(order)).where("entry > 0")
+    joined = loose.groupBy("path", "entry").agg(F.array_sort(F.collect_list(F.struct("split", "seq", "raw"))).alias("all"))
+    first = F.get("all", F.lit(0))
+    joined = joined.select("path", first["split"].alias("split"), first["seq"].alias("seq"), F.array_join(F.transform("all", lambda x: x["raw"]), "").alias("raw"))
+    rows = pieces.where("whole").select("path", "split", "seq", "raw").unionByName(joined)
+    # a split of n bytes holds fewer than n entries, so this orders them along the file
+    rows = rows.select("path", (F.col("split") + F.col("seq")).alias("n"), "raw")
+    return rows.where(~F.lower(F.regexp_extract("raw", r"^@(\w+)", 1)).isin(NOT_ENTRIES))
+
+
+_PIECES = pa.schema([("path", pa.string()), ("split", pa.int64()), ("seq", pa.int64()), ("starts", pa.bool_()), ("whole", pa.bool_()), ("raw", pa.string())])
+
+
+def entry_source(raw: str) -> tuple[str, str] | None:
+    """An entry's citekey, and its text to the brace that closes it (all of it, if none does)."""
+    head = re.match(r"@\w+\s*([{(])\s*([^,\s{}()]+)\s*,", raw)
+    if not head:
+        return None
+    depth = 0
+    for k in range(head.start(1), len(raw)):
+        c = raw[k]
+        if head[1] == "(" and c == ")" and depth == 1:
+            return head[2], raw[: k + 1]
+        depth += (c in "{(" if k == head.start(1) else c == "{") - (c == "}")
+        if depth == 0:
+            return head[2], raw[: k + 1]
+    return head[2], raw.rstrip()
+
+
+def lookup(raw: DataFrame, keys: DataFrame) -> DataFrame:
+    """citekey and source of the entries of ``keys`` (citekey), the first one of several; a key that no file has has an empty source.
+
+    ``raw``: path, n, raw. Blocks that hold none of the keys at their head aren't read further.
+    """
+    head = F.regexp_extract("raw", r"^@\w+\s*[{(]\s*([^,\s{}()]+)\s*,", 1)
+    found = raw.withColumn("citekey", head).join(keys.select("citekey").distinct(), "citekey", "left_semi")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[["path", "n", "citekey"]].assign(source=[entry_source(x)[1] for x in pdf["raw"]])
+
+    rows = found.mapInPandas(run, f"path string, n {raw.schema['n'].dataType.simpleString()}, citekey string, source string")
+    rows = rows.groupBy("citekey").agg(F.min_by("source", F.struct("path", "n")).alias("source"))
+    return keys.select("citekey").distinct().join(rows, "citekey", "left").select("citekey", F.coalesce("source", F.lit("")).alias("source"))
 
 
 def dropped(parsed: DataFrame) -> DataFrame:
