@@ -140,6 +140,9 @@ class TermIndex:
 
     def _refresh(self, items: DataFrame, source: str | None, now: dict | None) -> dict:
         text = F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
+        cores = self.spark.sparkContext.defaultParallelism
+        if items.rdd.getNumPartitions() < cores:  # one file of one row group, say: its texts are dealt out before they are cut into words
+            items = items.select("citekey", "title", "text").repartition(cores, "citekey")
         texts = items.select("citekey", F.sha2(text, 256).alias("fingerprint"), text.alias("text"))
         segments = [dict(s) for s in now["segments"]] if now else []
         same = None
