@@ -1,10 +1,12 @@
 """Token ids of whole texts, by the tokenizers library, at the speed of a lookup.
 
 The byte-level pre-tokenizer never joins what stands before and after a single
-space between two non-space characters, so a text is encoded piece by piece
-there, and each worker keeps the ids of the pieces it has met. A slice of texts
-is cut, and its pieces told apart, as one Arrow column; only different pieces
-are looked up one by one.
+space between two non-space characters, nor a single line feed with either side,
+nor an ASCII letter with an ASCII mark other than the apostrophe. So a text is
+encoded piece by piece there, and each worker keeps the ids of the pieces it has
+met. A slice of texts is cut, and its pieces told apart, as one Arrow column;
+only different pieces are looked up one by one. Texts with runs of white space or
+with a token that the tokenizer adds are cut at single spaces only.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from lectern.llm.common import text_buffer
 
 #: Ends each document.
 END_ID = 2
-_WORD_AND_MARKS = re.compile(r"( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]+)")
+#: Of each byte: 1 for an ASCII letter, 2 for an ASCII mark, 3 for the apostrophe or a digit, 0 for others.
+_KIND = np.array([1 if chr(b).isalpha() else 3 if chr(b).isdigit() or b == 39 else 2 if 32 < b < 127 else 0 for b in range(128)] + [0] * 128, np.uint8)
 _LINE = re.compile(r" ?\S+")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
@@ -51,20 +54,13 @@ class PieceEncoder:
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.known: dict[str, bytes] = {"": b""}
         self.held, self.limit = 0, cache_bytes
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         feed = self._ids("\n")
         self.feed = int(feed[0]) if len(feed) == 1 else None
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.batch([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Letters before closing marks are pieces of their own to the pre-tokenizer too, and shared by more."""
-        ends = {p: m.groups() for p in pieces if (m := _WORD_AND_MARKS.fullmatch(p))}
-        self._encode_new(list((pieces - ends.keys()).union(*ends.values()).difference(self.known)))
-        for p, (word, marks) in ends.items():
-            self.known[p] = ids = self.known[word] + self.known[marks]
-            self.held += len(ids) + len(p) + 180
-
     def _encode_new(self, pieces: list[str]) -> None:
         lines, rest = [], []
         for p in pieces:
@@ -86,13 +82,17 @@ class PieceEncoder:
                 self.known[p] = ids = np.array(e.ids, "<u4").tobytes()
                 self.held += 2 * len(p) + len(ids) + 180
 
-    @staticmethod
-    def _cut(col: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    def _cut(self, col: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The pieces of a string column, and the rows' bounds among them."""
         raw, offsets = text_buffer(col)
-        starts = raw == 32
+        starts, kind = raw == 32, _KIND[raw]
+        starts[1:] |= kind[1:] * kind[:-1] == 2  # a letter beside a mark
+        feeds = np.flatnonzero((raw[1:-1] == 10) & (kind[:-2] > 0) & (kind[2:] > 0)) + 1
+        starts[feeds], starts[feeds + 1] = True, True
         starts[offsets[:-1][offsets[:-1] < len(raw)]] = True
         unsafe = pc.fill_null(pc.match_substring_regex(col, _UNSAFE), False)
+        for token in self.added:
+            unsafe = pc.or_(unsafe, pc.fill_null(pc.match_substring(col, token), False))
         for i in np.flatnonzero(unsafe.to_numpy(zero_copy_only=False)).tolist():
             a, b = offsets[i], offsets[i + 1]
             sizes = [len(x.encode()) for x in _CUT.split(col[i].as_py())]
@@ -112,7 +112,7 @@ class PieceEncoder:
         pieces = told.dictionary.to_pylist()
         missing = {p for p in pieces if p not in self.known}
         if missing:
-            self._learn(missing)
+            self._encode_new(list(missing))
         ids = [self.known[p] for p in pieces]
         flat = np.frombuffer(b"".join(ids), "<u4")
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
