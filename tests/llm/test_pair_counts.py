@@ -50,3 +50,17 @@ def test_pairs_of_texts(spark, monkeypatch):
                 root = [new if x == old else x for x in root]
     assert {x["doc_id"]: x["component_id"] for x in out} == dict(enumerate(root))
     assert sum(pairs) <= 12 * len(texts)
+
+
+def test_pairs_of_lines_with_a_passage(spark, monkeypatch):
+    """Lines that share a passage, or a phrase and no other words, make pairs in proportion to their number."""
+    r = random.Random(4)
+    passage, words = [f"p{i}" for i in range(60)], [f"w{i}" for i in range(4000)]
+    lines = [" ".join(r.sample(words, 20 + k % 4) + passage) for k in range(160)]
+    lines += [" ".join(["q0 q1 q2 q3", *r.sample(words, 240)]) for k in range(160)]
+    copies = [" ".join([*x.split()[:-3], "x", "y", "z"]) for x in lines[::20]]
+    pairs = counted(monkeypatch, line_dedup, "pairs")
+    docs = spark.createDataFrame(list(enumerate(lines + copies)), "doc_id long, text string")
+    gone = sorted(x["doc_id"] for x in line_dedup.dedup_lines(docs, least_words=1).where("_n_removed > 0").collect())
+    assert gone == list(range(len(lines), len(lines + copies)))
+    assert sum(pairs) <= 20 * len(lines)  # 25,440 pairs share the passage or the phrase
