@@ -4,9 +4,10 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
-from lectern.operators import retrieval
+from lectern.operators import retrieval, term_index
 from lectern.operators.term_index import TermIndex
 from lectern.sources.versions import CommitConflict, Versions, state_of
 
@@ -122,3 +123,45 @@ def test_no_items_and_the_state_of_files(spark, tmp_path):
     (tmp_path / "a" / "x").write_text("12")
     assert state_of(spark, str(tmp_path / "a")) != one
     assert retrieval.K1 == 1.5
+
+
+def test_scores_by_slice_are_those_by_skipping(spark, tmp_path, monkeypatch):
+    """Many queries over several slices and segments, with dead items, equal texts and a key that comes back."""
+    monkeypatch.setattr(term_index, "SLICE_ITEMS", 50)
+    monkeypatch.setattr(term_index, "GROUP_QUERIES", 7)
+    rows = corpus(4, 260)
+    rows += [(f"same{i:02d}", "t", f"{WORDS[0]} {WORDS[250]}") for i in range(40)]
+    index = TermIndex(spark, str(tmp_path / "i"), buckets=3, most_skipping=0)
+    index.refresh(table(spark, rows))
+    rows = [*rows[30:], *[(c, t, f"{x} {WORDS[3]}") for c, t, x in rows[:25]]]
+    now = index.refresh(table(spark, rows))
+    assert len(now["segments"]) == 2 and now["segments"][0]["n_dead"] == 30
+    r = random.Random(8)
+    queries = QUERIES + [(10 + i, " ".join(r.choices(WORDS, k=r.randint(1, 20)))) for i in range(40)]
+    got = found(index, spark, queries, 6)
+    assert got == plain(rows, queries, 6)
+    index.most_skipping = 1 << 60
+    assert [(a, b, d) for a, b, _, d in found(index, spark, queries, 6)] == [(a, b, d) for a, b, _, d in got]
+
+
+def test_a_slice_passes_on_its_best_alone(spark, tmp_path):
+    """One common word in every query: the rows that are scored follow the items and queries, not their product."""
+    rows = [(f"k{i:04d}", "t", " ".join(["reef"] * (1 + i % 3) + ["sand"] * (i % 90 + 5))) for i in range(1500)]
+    index = TermIndex(spark, str(tmp_path / "i"), buckets=1, most_skipping=0)
+    index.refresh(table(spark, rows))
+    queries = spark.createDataFrame([(i, f"reef w{i}") for i in range(300)], "query_id int, query string")
+    assert index.scores(queries, 5).count() < 300 * 40
+    assert found(index, spark, [(1, "reef")], 5) == plain(rows, [(1, "reef")], 5)
+
+
+def test_long_texts_are_counted_in_small_batches(spark):
+    sizes = [3, 0, 5, 400, 1, 0, 90, 90]
+    rows = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(8)]), pa.array(["f"] * 8), pa.array([[f"w{j % 7}" for j in range(n)] for n in sizes], pa.list_(pa.string()))], names=["citekey", "fingerprint", "tokens"])
+    for most, batches in ((100, 4), (1 << 18, 1)):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(term_index, "COUNT_TOKENS", most)
+            out = list(term_index._counted([rows.slice(0, 8)]))
+        assert len(out) == batches
+        got = [r for b in out for r in b.to_pylist()]
+        assert [r["length"] for r in got] == sizes
+        assert [dict(zip(r["terms"], r["tfs"])) for r in got] == [dict(Counter(f"w{j % 7}" for j in range(n))) for n in sizes]
