@@ -165,3 +165,14 @@ def test_long_texts_are_counted_in_small_batches(spark):
         got = [r for b in out for r in b.to_pylist()]
         assert [r["length"] for r in got] == sizes
         assert [dict(zip(r["terms"], r["tfs"])) for r in got] == [dict(Counter(f"w{j % 7}" for j in range(n))) for n in sizes]
+
+
+def test_texts_are_fetched_where_they_lie(spark):
+    """Few hits go to the texts, so no text is shuffled; many give the same snippets."""
+    items = table(spark, [(f"k{i}", "t", f"{'dune ' * 200}reef{i} {'sand ' * 200}") for i in range(50)])
+    queries = spark.createDataFrame([(1, "reef7"), (2, "reef9")], "query_id int, query string")
+    hits = spark.createDataFrame([(1, "k7", 1.0, 1), (2, "k9", 1.0, 1), (2, "k7", 0.5, 2)], "query_id int, citekey string, score double, rank int")
+    few, many = (retrieval.snippets(hits, items, queries, most_broadcast=n) for n in (10, 0))
+    assert sorted(few.collect()) == sorted(many.collect()) and few.count() == 3
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
