@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,18 +61,27 @@ class BlockedBloom:
         return (self.words[self.block(h, len(self.words))] & need) == need
 
 
-def build_bloom(keys: DataFrame, column: str, count: int, bits_per_key: int = 16) -> BlockedBloom:
-    """OR the keys' bits block by block in Spark; only filled blocks reach the driver."""
+def build_bloom(keys: DataFrame, column: str, count: int, bits_per_key: int = 16, part_blocks: int = 1 << 17) -> BlockedBloom:
+    """OR the keys' bits in Spark; the driver takes one run of ``part_blocks`` packed blocks after the other, and holds the filter alone."""
     blocks = max(1, count * bits_per_key // 64)
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            h = pdf[column].to_numpy(np.int64).view(np.uint64)
-            yield pd.DataFrame({"block": BlockedBloom.block(h, blocks), "bits": BlockedBloom.bits(h).view(np.int64)})
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            block = BlockedBloom.block(h, blocks)
+            cols = [block // part_blocks, block % part_blocks, BlockedBloom.bits(h).view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["part", "at", "bits"])
 
-    filled = keys.select(column).mapInPandas(place, "block long, bits long").groupBy("block").agg(F.bit_or("bits").alias("bits")).toPandas()
+    def packed(part: pa.Table) -> pa.Table:
+        words = np.zeros(part_blocks, np.uint64)
+        np.bitwise_or.at(words, part["at"].to_numpy(), part["bits"].to_numpy().view(np.uint64))
+        return pa.table({"part": part["part"][:1], "words": [words.tobytes()]})
+
+    filled = keys.select(column).where(F.col(column).isNotNull()).mapInArrow(place, "part long, at long, bits long").groupBy("part").applyInArrow(packed, "part long, words binary")
     words = np.zeros(blocks, np.uint64)
-    words[filled["block"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64).view(np.uint64)
+    for row in filled.toLocalIterator():
+        own = words[row["part"] * part_blocks : (row["part"] + 1) * part_blocks]
+        own[:] = np.frombuffer(row["words"], np.uint64, len(own))
     return BlockedBloom(words)
 
 
